@@ -17,6 +17,7 @@ shorter line's length); those whose halves meet no other line have no neighbour.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,17 +149,18 @@ def deduplicate_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     edit away, itself kept or not. Shorter lines always stay. Lines are what line feeds part;
     the rest is joined by them again. A null text stays null with no lines; an empty text has one. Rows
     without an id are neither compared nor changed. Rows that repeat an id count as one document: the
-    same places go in each. All other columns stay, whatever their names; an empty table gives no rows.
+    same places go in each. All other columns stay, but for any named n_lines or n_removed; an empty table gives no rows.
     """
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    gone = removals(plain, min_chars).select(F.col("i").alias("__id"), F.col("gone").alias("__gone"))
-    joined = docs.join(small(gone), docs[f"`{id_col}`"].cast("long") == gone["__id"], "left")
+    own, places = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "gone"))
+    gone = removals(plain, min_chars).select(F.col("i").alias(own), F.col("gone").alias(places))
+    joined = docs.join(small(gone), docs[f"`{id_col}`"].cast("long") == gone[own], "left")
     lines = F.split(F.col(f"`{text_col}`"), "\n")
-    left = F.filter(F.transform(lines, lambda x, k: F.struct(x.alias("x"), k.alias("k"))), lambda s: ~F.array_contains("__gone", s["k"]))
-    text = F.when(F.col("__gone").isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
+    left = F.filter(F.transform(lines, lambda x, k: F.struct(x.alias("x"), k.alias("k"))), lambda s: ~F.array_contains(places, s["k"]))
+    text = F.when(F.col(places).isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
     counted = {
         "n_lines": F.when(F.col(f"`{text_col}`").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
-        "n_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long"),
+        "n_removed": F.when(F.col(places).isNull(), F.lit(0)).otherwise(F.size(places)).cast("long"),
     }
     kept = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in counted]
     return joined.select(*kept, *(c.alias(n) for n, c in counted.items()))
