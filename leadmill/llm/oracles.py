@@ -1,3 +1,78 @@
-"""SQL twins of the queries that SQL can express."""
+"""SQL twins, for DuckDB, of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+TOPK = """with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) e from embeddings
+  where vec_id is not null and embedding is not null and not coalesce(list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x))), false)),
+p as (select q.vec_id query_id, v.vec_id, cast(list_sum(list_transform(list_zip(q.e, v.e), lambda z: z[1] * z[2])) as bigint) score from v q join v on q.vec_id <> v.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) rn from p)
+select query_id, cast(rn as int) rank, vec_id, score from r where rn <= 5"""
+
+NEAR = """with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda x: x <> '') w from documents),
+sets as (select doc_id, case when len(w) = 0 then [] else list_distinct(list_transform(range(1, greatest(len(w) - 2, 2)), lambda i: array_to_string(w[i:i+3], ' '))) end s from w),
+sizes as (select doc_id, cast(len(s) as bigint) n from sets),
+items as (select doc_id, unnest(s) x from sets),
+common as (select a.doc_id a, b.doc_id b, count(*) c from items a join items b on a.x = b.x and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (select c.a, c.b from common c join sizes p on p.doc_id = c.a join sizes q on q.doc_id = c.b where 100 * c.c >= 80 * (p.n + q.n - c.c)),
+two as (select a, b from links union all select b, a from links),
+reach as (select doc_id id, doc_id c from documents union select r.id, t.b from reach r join two t on t.a = r.c),
+least as (select id, min(c) component_id from reach group by id)
+select s.doc_id, s.n n_shingles, l.component_id, s.doc_id = l.component_id kept from sizes s join least l on l.id = s.doc_id"""
+
+LINES = """with d as (select doc_id, text, string_split(text, chr(10)) ls from documents),
+o as (select doc_id, unnest(range(0, len(ls))) pos, unnest(ls) line from d),
+u as (select line, min({'d': doc_id, 'p': pos}) f from o where length(line) >= 30 group by line),
+h as (select line, f, length(line) n, m from (select *, unnest([length(line) - 1, length(line)]) m from u)),
+k as (select line, f, n, m, 0 side, left(line, m // 2) part from h union all select line, f, n, m, 1, right(line, m - m // 2) from h),
+pairs as (select distinct a.line x, b.line y from k a join k b on a.m = b.m and a.side = b.side and a.part = b.part and a.f < b.f and abs(a.n - b.n) <= 1),
+c as (select x, y, case when length(x) <= length(y) then x else y end s, case when length(x) <= length(y) then y else x end t from pairs),
+late as (select distinct y line from c where list_bool_or(list_transform(range(0, length(s) + 1), lambda i: left(s, i) = left(t, i)
+  and right(s, greatest(length(s) - i - case when length(s) = length(t) then 1 else 0 end, 0)) = right(t, greatest(length(t) - i - 1, 0)) and i < length(t)))),
+marked as (select o.doc_id, o.pos, o.line, length(o.line) >= 30 and (o.line in (select line from late) or {'d': o.doc_id, 'p': o.pos} <> u.f) gone from o left join u on u.line = o.line)
+select doc_id, count(*) n_lines, count(case when gone then 1 end) n_removed, coalesce(string_agg(line, chr(10) order by pos) filter (not coalesce(gone, false)), '') as text from marked group by doc_id"""
+
+
+def _spans(kind: str, pattern: str, hint: str, confirmed: str) -> str:
+    """A list of structs (s, e, x) of the confirmed matches of a pattern; x is the match."""
+    return f"""list_filter(list_transform(range(1, case when regexp_matches(t, '{hint}') then len(m_{kind}) else 0 end + 1), lambda i: struct_pack(
+      s := cast(list_sum(list_transform(g_{kind}[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m_{kind}[1:i-1], lambda x: length(x))), 0) as bigint),
+      e := cast(list_sum(list_transform(g_{kind}[1:i], lambda x: length(x))) + list_sum(list_transform(m_{kind}[1:i], lambda x: length(x))) as bigint),
+      x := m_{kind}[i])), lambda z: {confirmed}) {kind}"""
+
+
+_DIGITS = "regexp_replace(z.x, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda j: case when j % 2 = 1 then cast(substring(reverse({_DIGITS}), j, 1) as int)
+  else cast(substring(reverse({_DIGITS}), j, 1) as int) * 2 - case when cast(substring(reverse({_DIGITS}), j, 1) as int) > 4 then 9 else 0 end end)) % 10 = 0"""
+_TURNED = "substring(replace(z.x, ' ', ''), 5) || substring(replace(z.x, ' ', ''), 1, 4)"
+_MOD97 = f"""list_reduce(list_transform(string_split({_TURNED}, ''), lambda c: case when c between 'A' and 'Z' then ascii(c) - 55 else ascii(c) - 48 end), lambda a, b: (a * case when b > 9 then 100 else 10 end + b) % 97, 0) = 1"""
+_SMALL = "len(list_filter(string_split(z.x, '.'), lambda p: not regexp_matches(p, '^0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$'))) = 0"
+_KINDS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@", "true", 0.8, "mail|contact|write", "example|test", 0.0),
+    ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", r"[0-9]\.[0-9]", _SMALL, 0.6, r"\bip\b|host|address|server", "version|release|section", 0.0),
+    ("card", "[0-9](?:[ -]?[0-9])+", "[0-9]", f"length({_DIGITS}) between 16 and 19 and {_LUHN}", 0.8, "card|visa|credit|payment", "isbn|order|serial", 0.0),
+    ("phone", r"\+[0-9][ ().0-9-]+[0-9]", r"\+[0-9]", f"length({_DIGITS}) between 8 and 15", 0.7, "phone|call|tel|mobile|fax", "score|diff", 0.0),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", "[A-Z]{2}[0-9]{2}", _MOD97, 0.8, "iban|account|bank", "order|serial", 0.5),
+    ("nid", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "[0-9]-[0-9]{2}-[0-9]", "true", 0.3, "ssn|social|security|insurance|national", "part|model|serial", 0.5),
+)
+
+
+def _rated(kind, pattern, hint, confirmed, score, helps, hurts, least) -> str:
+    near = "lower(substring(t, greatest(z.s - 48, 0) + 1, z.s - greatest(z.s - 48, 0)) || ' ' || substring(t, z.e + 1, 24))"
+    value = f"round(least({score} + case when regexp_matches({near}, '{helps}') then 0.3 else 0.0 end - case when regexp_matches({near}, '{hurts}') then 0.2 else 0.0 end, 1.0), 2)"
+    return f"list_filter(list_transform({kind}, lambda z: struct_pack(v := '{kind}:' || z.s || ':' || z.e, c := cast({value} as double))), lambda z: z.c >= {least}) {kind}"
+
+
+_ALL = [k[0] for k in _KINDS]
+
+
+def _joined(kinds: list[str], part: str) -> str:
+    return "array_to_string(" + " || ".join(f"list_transform({k}, lambda z: {part})" for k in kinds) + ", ',')"
+
+
+PII = f"""with d as (select doc_id, coalesce(text, '') t from documents),
+m as (select doc_id, t, {", ".join(f"regexp_extract_all(t, '{p}') m_{k}, string_split_regex(t, '{p}') g_{k}" for k, p, *_ in _KINDS)} from d),
+s as (select doc_id, t, {", ".join(_spans(*k[:4]) for k in _KINDS)} from m),
+r as (select doc_id, {", ".join(_rated(*k) for k in _KINDS)} from s)
+select doc_id, {", ".join(f"cast(len({k}) as bigint) n_{k}" for k in _ALL)}, sha256({_joined(_ALL[:4], "z.v")}) base_sha256, {_joined(_ALL, "z.v")} spans, {_joined(_ALL, "cast(z.c as varchar)")} scores from r"""
+
+ORACLES: dict[str, str] = {"op4_topk": TOPK, "op6_near_duplicates": NEAR, "op7_line_dedup": LINES, "op9_pii": PII}
