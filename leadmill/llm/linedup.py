@@ -47,7 +47,9 @@ def spread(x: np.ndarray) -> np.ndarray:
 def deletions(line: str) -> tuple[int, np.ndarray]:
     """The hash of the line, and those of its variants without the character at each place."""
     c = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    powers = np.cumprod(np.concatenate([[1], np.full(max(0, len(c) - 1), BASE, np.uint64)]).astype(np.uint64))
+    powers = np.full(len(c), BASE, np.uint64)
+    powers[:1] = 1
+    powers = np.cumprod(powers)
     term = spread(c + np.uint64(1)) * powers
     upto = np.cumsum(term, dtype=np.uint64)
     total = upto[-1] if len(c) else np.uint64(0)

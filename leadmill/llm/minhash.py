@@ -31,6 +31,7 @@ BANDS, ROWS = 40, 6
 FUNCTIONS = BANDS * ROWS
 SIGMAS = 5.5
 FEW = 48  # members outside the largest component that a bucket compares directly
+DEEP = 3
 BROADCAST_IDS = 2_000_000  # 16 MB
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,24 +152,26 @@ def mixed_pairs(rows: DataFrame, percent: int) -> DataFrame | None:
     """(u, v) of different components, of the buckets that hold several; None if there are none.
 
     rows: key, i, n, c (component), bands. A bucket with more than FEW members outside its largest
-    component is dealt out by each of the bands, and what then still is so again.
+    component is dealt out by each of the bands, and what then still is so again. Members that share
+    DEEP more bands are likely pairs: these are compared whatever their number.
     """
     found = None
-    while True:
+    for depth in range(DEEP + 1):
+        few = FEW if depth < DEEP else 2**62
         held = rows.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("several"))
         held = spool(held.filter("several > 1").select("key", F.col("top.c").alias("major"), (F.col("m") - F.col("top.k")).alias("minors")), "mixed")
-        counts = held.agg(F.count("*").alias("all"), F.count_if(F.col("minors") > FEW).alias("large")).first()
+        counts = held.agg(F.count("*").alias("all"), F.count_if(F.col("minors") > few).alias("large")).first()
         if not counts["all"]:
             return found
         members = rows.join(held, "key")
-        easy = members.filter(F.col("minors") <= FEW)
+        easy = members.filter(F.col("minors") <= few)
         minor = easy.filter("c <> major").select("key", F.col("i").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
         pairs = minor.join(easy.select("key", F.col("i").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv")), "key")
         pairs = pairs.filter((F.col("cu") != F.col("cv")) & near("nu", "nv", percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         found = pairs if found is None else found.unionByName(pairs)
         if not counts["large"]:
             return found
-        again = members.filter(F.col("minors") > FEW).select("key", "i", "n", "c", "bands", F.explode("bands").alias("band")).filter(F.col("band") != F.col("key"))
+        again = members.filter(F.col("minors") > few).select("key", "i", "n", "c", "bands", F.explode("bands").alias("band")).filter(F.col("band") != F.col("key"))
         rows = spool(again.select(F.xxhash64("key", "band").alias("key"), "i", "n", "c", "bands"), "dealt")
 
 
