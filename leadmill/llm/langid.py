@@ -89,6 +89,8 @@ def count_languages(docs: DataFrame, *, text_col: str, lang_col: str) -> tuple[l
 
 def probabilities(counts: np.ndarray, weight: float = 2000.0) -> np.ndarray:
     """BINS x languages: counts smoothed with `weight` trigrams of the languages' average."""
+    if not len(counts):
+        return np.zeros((BINS, 0))
     share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     average = share.mean(axis=0) * (1 - 1e-3) + 1e-3 / BINS
     return ((counts + weight * average) / (counts.sum(axis=1, keepdims=True) + weight)).T.copy()

@@ -38,7 +38,8 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
     """(query id, vector id, score) of each query's k best rows of the block, without its own."""
     top = max(np.abs(q).max(initial=0), np.abs(x).max(initial=0))
     safe = top * top * max(1, x.shape[1]) < EXACT
-    levels = [s for s in LEVELS if s < x.shape[1]] if safe else []
+    repeats = len(np.unique(ids)) < len(ids)  # then the k best rows may be fewer ids
+    levels = [s for s in LEVELS if s < x.shape[1]] if safe and not repeats else []
     rough = [(statistics(q, s), statistics(x, s)) for s in levels]
     exact_x = x if safe else np.array([[int(v) for v in row] for row in x], dtype=object)
     exact_q = q if safe else np.array([[int(v) for v in row] for row in q], dtype=object)
@@ -55,8 +56,10 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarr
                 least = (exact_x[first] @ exact_q[i]).min()
             left = left[bound * (1 + np.sign(bound) * SLACK) + SLACK * abs(least) >= least]
         score = exact_x[left] @ exact_q[i]
-        order = sorted(range(len(left)), key=lambda j: (-score[j], ids[left[j]]))[:k] if not safe else np.lexsort((ids[left], -score))[:k]
-        out += [(int(query), int(ids[left[j]]), min(LONG - 1, max(-LONG, int(score[j])))) for j in order]
+        order = np.lexsort((ids[left], -score)) if safe else sorted(range(len(left)), key=lambda j: (-score[j], ids[left[j]]))
+        if repeats:
+            order = [order[j] for j in sorted(np.unique(ids[left[order]], return_index=True)[1])]
+        out += [(int(query), int(ids[left[j]]), min(LONG - 1, max(-LONG, int(score[j])))) for j in order[:k]]
     return out
 
 
