@@ -6,10 +6,11 @@ five in a million. Documents with equal sets are one class from the start.
 
 Bucket members are first compared with the bucket's smallest member only, so candidates grow with the
 number of rows and not with the square of a bucket. The links found give components. What is left are
-buckets that hold several components: there, members outside the largest component are compared
-with the members of other components; if these are many, the bucket is split by the other bands
-until they are few. Pairs of one component need no comparison. A candidate passes the sizes' bound,
-the signature (a byte of each minimum), and last the full sets, by integers.
+buckets that hold several components: their members meet with their signatures (a byte of each
+minimum) in groups of bounded size, and only pairs of different components whose sizes and signatures
+allow the similarity leave a group: first each member's best of every other component, and once these
+are linked, all that are still apart. Pairs of one component need no comparison. Full sets confirm every
+link, by integers.
 """
 
 from __future__ import annotations
@@ -29,9 +30,8 @@ from .components import components
 
 BANDS, ROWS = 40, 6
 FUNCTIONS = BANDS * ROWS
-SIGMAS = 5.5
-FEW = 48  # members outside the largest component that a bucket compares directly
-DEEP = 3
+SIGMAS = 4.5
+BLOCK = 1024  # members of a bucket in one of its blocks; a group holds two
 BROADCAST_IDS = 2_000_000  # 16 MB
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,9 +111,14 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return some.mapInPandas(run, "i long, s array<long>").dropDuplicates(["i"])
 
 
+def floor(percent: int) -> float:
+    """The least share of equal signature bytes with which the similarity is still in question."""
+    return percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / FUNCTIONS) ** 0.5
+
+
 def similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose signatures do not rule out the similarity."""
-    least = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / FUNCTIONS) ** 0.5
+    least = floor(percent)
 
     def agree(a: pd.Series, b: pd.Series) -> pd.Series:
         if not len(a):
@@ -148,31 +153,64 @@ def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return rows.join(centre, "key").filter(F.col("i") != F.col("u")).filter(near("n", "nu", percent)).select("u", F.col("i").alias("v")).distinct()
 
 
-def mixed_pairs(rows: DataFrame, percent: int) -> DataFrame | None:
-    """(u, v) of different components, of the buckets that hold several; None if there are none.
+def allowed(i: np.ndarray, n: np.ndarray, c: np.ndarray, part: np.ndarray, signature: np.ndarray, percent: int, best: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of one group: of different components (and, where the group holds two blocks, of different
+    blocks), with sizes and signatures that allow the similarity; with `best` only the likeliest of each
+    member and other component."""
+    order, least, two = np.argsort(n, kind="stable"), floor(percent), part.min() != part.max()
+    i, n, c, part, signature = i[order], n[order], c[order], part[order], signature[order]
+    last = np.searchsorted(n, n * 100 // percent, side="right")
+    for u in range(len(i)):
+        v = np.arange(u + 1, last[u])
+        v = v[(c[v] != c[u]) & ((part[v] != part[u]) if two else True)]
+        if len(v):
+            share = (signature[v] == signature[u]).mean(axis=1)
+            v, share = v[share >= least], share[share >= least]
+            if best and len(v):
+                top = np.lexsort((-share, c[v]))
+                v = v[top[np.append(True, c[v][top][1:] != c[v][top][:-1])]]
+            for k in v:
+                yield (int(i[u]), int(i[k])) if i[u] < i[k] else (int(i[k]), int(i[u]))
+
+
+def mixed_pairs(classes: DataFrame, component: DataFrame, percent: int, best: bool) -> DataFrame:
+    """(u, v) of different components, from the buckets that hold several."""
+    labelled = classes.join(component, classes["i"] == component["node"], "left").select("i", "n", "bands", F.coalesce("component", "i").alias("c"))
+    rows = labelled.select(F.explode("bands").alias("key"), "i", "n", "c")
+    held = rows.groupBy("key").agg(F.min("c").alias("a"), F.max("c").alias("b"), F.count("*").alias("m")).filter("a <> b")
+    held = spool(held.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
+    # A large bucket is dealt into blocks; each pair of blocks is one group.
+    members = rows.join(held, "key").withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
+    members = members.withColumn("part", F.pmod(F.xxhash64("i"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select("key", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "i", "n", "c", "part")
+    full = members.join(classes.select("i", "signature"), "i").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "i")
 
-    rows: key, i, n, c (component), bands. A bucket with more than FEW members outside its largest
-    component is dealt out by each of the bands, and what then still is so again. Members that share
-    DEEP more bands are likely pairs: these are compared whatever their number.
-    """
-    found = None
-    for depth in range(DEEP + 1):
-        few = FEW if depth < DEEP else 2**62
-        held = rows.groupBy("key", "c").agg(F.count("*").alias("k")).groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("several"))
-        held = spool(held.filter("several > 1").select("key", F.col("top.c").alias("major"), (F.col("m") - F.col("top.k")).alias("minors")), "mixed")
-        counts = held.agg(F.count("*").alias("all"), F.count_if(F.col("minors") > few).alias("large")).first()
-        if not counts["all"]:
-            return found
-        members = rows.join(held, "key")
-        easy = members.filter(F.col("minors") <= few)
-        minor = easy.filter("c <> major").select("key", F.col("i").alias("u"), F.col("n").alias("nu"), F.col("c").alias("cu"))
-        pairs = minor.join(easy.select("key", F.col("i").alias("v"), F.col("n").alias("nv"), F.col("c").alias("cv")), "key")
-        pairs = pairs.filter((F.col("cu") != F.col("cv")) & near("nu", "nv", percent)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        found = pairs if found is None else found.unionByName(pairs)
-        if not counts["large"]:
-            return found
-        again = members.filter(F.col("minors") > few).select("key", "i", "n", "c", "bands", F.explode("bands").alias("band")).filter(F.col("band") != F.col("key"))
-        rows = spool(again.select(F.xxhash64("key", "band").alias("key"), "i", "n", "c", "bands"), "dealt")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def groups():
+            held = None
+            for batch in batches:
+                batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+                k = batch[["key", "x", "y"]].to_numpy()
+                start = np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1)))
+                for a, b in zip(start, start[1:]):
+                    yield batch.iloc[a:b]
+                held = batch.iloc[start[-1] :]
+            if held is not None and len(held):
+                yield held
+
+        pairs: set[tuple[int, int]] = set()
+        for g in groups():
+            if len(g) > 1:
+                signature = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), FUNCTIONS)
+                pairs.update(allowed(g["i"].to_numpy(), g["n"].to_numpy(), g["c"].to_numpy(), g["part"].to_numpy(), signature, percent, best))
+            if len(pairs) >= 50_000:
+                yield pd.DataFrame(list(pairs), columns=["u", "v"])
+                pairs = set()
+        if pairs:
+            yield pd.DataFrame(list(pairs), columns=["u", "v"])
+
+    return full.mapInPandas(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -195,13 +233,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = spool(confirmed(pairs, plain, size, percent), "links")
     first = spool(components(links), "components")
 
-    labelled = classes.join(first, classes["i"] == first["node"], "left").select("i", "n", "bands", F.coalesce("component", "i").alias("c"))
-    more = mixed_pairs(labelled.select(F.explode("bands").alias("key"), "i", "n", "c", "bands"), percent)
-    if more is not None:
-        # Their links join components, each named by its smallest member.
-        extra = confirmed(spool(similar(more.distinct(), classes, percent), "pairs2"), plain, size, percent)
-        links = links.unionByName(extra)
-        first = spool(components(links), "components2")
+    for best in (True, False):
+        apart = spool(mixed_pairs(classes, first, percent, best), "apart")
+        more = spool(confirmed(apart, plain, size, percent), "more")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            first = spool(components(links), "components")
 
     joined = classes.join(first, classes["i"] == first["node"], "left").select("same", F.coalesce("component", "i").alias("component_id"), "i", "copies")
     joined = spool(joined.filter("copies > 1 or component_id <> i").select("same", "component_id"), "named")
