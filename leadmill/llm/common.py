@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..store import shared_dir, spool  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table of `sf_dir`, with only the named columns."""
@@ -20,25 +20,6 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one below the
-    working folder where the session names none (single-machine tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named or f"file://{os.path.abspath('spark-warehouse')}/checkpoints"
-
-
-def spool(df: DataFrame, tag: str) -> DataFrame:
-    """Writes `df` once to the shared folder and reads it back: cuts lineage, survives lost
-    executors, and gives the next plan true sizes. The files go when the JVM ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}/{tag}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path).getParent()
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
