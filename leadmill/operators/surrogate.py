@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..store import spool
+from .merge import with_dense_ids
 
 
 def training_set(state: DataFrame, cutoff: float) -> DataFrame:
@@ -16,15 +17,12 @@ def training_set(state: DataFrame, cutoff: float) -> DataFrame:
 
 
 def tail_split(rows: DataFrame, id_col: str, share: float = 0.1) -> DataFrame:
-    """id, split: of rows with different ids the last max(1, floor(share * n)) by id validate.
-
-    The boundary is the k-th largest id, found as a top-k and not by numbering all rows.
-    """
-    n = rows.count()
+    """id, split: of rows with different ids the last max(1, floor(share * n)) by id validate. Rows are
+    numbered in range partitions, without a global window or a collected tail."""
+    placed = with_dense_ids(rows.select(id_col), id_col, 0, "place")
+    n = placed.count()
     k = max(1, int(share * n)) if n else 0
-    # A bounded top-k where the tail is short; else a full sort in ranges.
-    edge = rows.select(id_col).orderBy(F.desc(id_col)).limit(k).agg(F.min(id_col).alias("edge"))
-    return rows.join(F.broadcast(edge)).select(id_col, F.when(F.col(id_col) >= F.col("edge"), "val").otherwise("train").alias("split"))
+    return placed.select(id_col, F.when(F.col("place") > n - k, "val").otherwise("train").alias("split"))
 
 
 def scaling(rows: DataFrame, target: str) -> tuple[float, float]:
@@ -55,8 +53,6 @@ def predict(model: tuple[LinearRegressionModel, float, float], rows: DataFrame,
 
 def chunks(rows: DataFrame, order: str, size: int) -> DataFrame:
     """order, chunk: rows dealt into chunks of `size` in the order of a unique column."""
-    from .merge import with_dense_ids
-
     return with_dense_ids(rows.select(order), order, -1, "place").select(order, F.floor(F.col("place") / size).alias("chunk"))
 
 
