@@ -286,3 +286,23 @@ def test_toxicity_held_out(spark):
     assert all(x.predicted == (x.doc_id % 4 == 0) for x in got)
     kept = toxicity.reject_toxic(docs, marks, F.col("doc_id") < 450).count()
     assert kept == 450
+
+
+def test_toxicity_has_no_cap_on_words(spark):
+    """A telling word counts though 310,000 words of both classes weigh more."""
+    filler = spark.range(24).select(F.col("id").alias("doc_id"), F.expr("array_join(transform(sequence(0, 309999), k -> concat('w', k)), ' ')").alias("text"))
+    rows = [(100 + i, "grumblon") for i in range(10)] + [(200, "grumblon"), (201, "unheard")]
+    docs = filler.union(spark.createDataFrame(rows, "doc_id long, text string"))
+    marks = spark.createDataFrame([(i, i % 2) for i in range(24)] + [(100 + i, 1) for i in range(10)], "doc_id long, toxic int")
+    got = {r.doc_id: r.doc_ratio for r in toxicity.score_toxicity(docs, marks, F.lit(True)).filter("doc_id >= 200").collect()}
+    assert got[200] > got[201] + 0.5
+
+
+def test_toxicity_joins_words_beyond_the_table(spark, odd, monkeypatch):
+    marks = odd.select("doc_id", F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0).alias("toxic"))
+    score = lambda: sorted(str((r.doc_id, *(round(x, 6) for x in (r.doc_ratio, r.window_ratio, r.top_ratio, r.score)))) for r in toxicity.score_toxicity(odd, marks, F.lit(True)).collect())
+    kept = lambda: sorted(str((r.doc_id, r.text)) for r in toxicity.reject_toxic(odd, marks, F.lit(True)).collect())
+    table = score(), kept()
+    monkeypatch.setattr(toxicity, "TABLE_WORDS", 0)
+    monkeypatch.setattr(toxicity, "COUNT_SLICE", 500)
+    assert (score(), kept()) == table
