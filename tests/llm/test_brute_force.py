@@ -306,3 +306,18 @@ def test_toxicity_joins_words_beyond_the_table(spark, odd, monkeypatch):
     monkeypatch.setattr(toxicity, "TABLE_WORDS", 0)
     monkeypatch.setattr(toxicity, "COUNT_SLICE", 500)
     assert (score(), kept()) == table
+
+
+def test_network_learns_from_rare_secrets(spark):
+    """12 documents of 6,000 hold findings: every one of them is learnt from."""
+    r = random.Random(8)
+    key = lambda n: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    rows = [(i, f"{prose(r, 20)} page-{r.randrange(10**12):016d} {prose(r, 5)}" + (f" token = {key(32)} now" if i % 500 == 0 else "")) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows.append((9000, f"use {key(32)} now"))
+    assert secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id = 9000").first().n_model == 1
+    rows.pop()
+    got = secrets.sample(docs.select(F.col("text").alias("t")), 10_000)
+    want = {(w, y) for _, text in rows for w, y in secrets.labelled(text)}
+    assert {x for x in want if x[1] == 1} == {(w, 1) for w in got[got["y"] == 1]["w"]}
+    assert (got["y"] == 0).sum() == min(10_000, sum(y == 0 for _, y in want))
