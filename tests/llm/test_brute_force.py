@@ -321,3 +321,19 @@ def test_network_learns_from_rare_secrets(spark):
     want = {(w, y) for _, text in rows for w, y in secrets.labelled(text)}
     assert {x for x in want if x[1] == 1} == {(w, 1) for w in got[got["y"] == 1]["w"]}
     assert (got["y"] == 0).sum() == min(10_000, sum(y == 0 for _, y in want))
+
+
+def test_toxicity_counts_of_preceding_words_do_not_saturate(spark):
+    rows = [(" ".join(f"w{k} {common}" for k in range(n)), 0) for common, n in (("few", 3), ("some", 200), ("many", 5000), ("most", 60000))]
+    got = {r.w: r.follows for r in toxicity.word_counts(spark.createDataFrame(rows, "t string, y int")).collect()}
+    for common, n in (("few", 3), ("some", 200), ("many", 5000), ("most", 60000)):
+        assert abs(got[toxicity.word_hash(common)] / n - 1) < 0.4, common
+
+
+def test_toxicity_counts_held_rows_that_the_unit_does_not_take(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i % 7} same") for i in range(400)], "doc_id long, text string")
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    given, count = [], toxicity.word_counts
+    monkeypatch.setattr(toxicity, "word_counts", lambda d: (given.append(d.filter("y is not null").count()), count(d))[1])
+    toxicity.score_toxicity(docs, marks, F.lit(True), most=5)
+    assert given == [400 - 2 * 5]
