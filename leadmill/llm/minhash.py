@@ -1,20 +1,24 @@
 """Near-duplicate documents by MinHash.
 
-A document is its set of word shingles. 240 universal hash functions (a * x + b, 64 bits) give its minima; 40
-bands of six minima each give its buckets. Two sets of similarity 0.8 share no bucket with a probability of
-five in a million. Documents with equal sets are one class from the start.
-
-Bucket members are first compared with the bucket's smallest member only, so candidates grow with the
-number of rows and not with the square of a bucket. The links found give components. What is left are
-buckets that hold several components: their members meet with their signatures (a byte of each
-minimum) in groups of bounded size, and only pairs of different components whose sizes and signatures
-allow the similarity leave a group: first each member's best of every other component, and once these
-are linked, all that are still apart. Pairs of one component need no comparison. Full sets confirm every
-link, by integers.
+A document is its set of word shingles; equal sets are one class from the start, and classes are the nodes of
+the graph. 240 universal hash functions (a * x + b, 64 bits) give a set's minima; 40 bands of six minima each
+give its buckets. Two sets of similarity 0.8 share no bucket with a probability of five in a million.
+
+Only classes that share a bucket with another one go on; their bucket keys, signatures (a byte of each minimum)
+and full sets are written once. The members of a bucket are compared with its smallest member: signatures
+first, full sets confirm. The links found give components.
+
+A link can still be missing between members of a bucket that are both unlike its smallest one. Buckets whose
+smallest members lie in one component are therefore put together: everything that meets the component in
+a bucket is compared with what meets it there without belonging to it, unless both are of one component. This is done
+inside groups of bounded weight that hold the full sets, so nothing leaves a group but confirmed links, and of
+these only the ones that join components: fewer than the group has members. All links together give the
+components of the result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -31,8 +35,9 @@ from .components import components
 BANDS, ROWS = 40, 6
 FUNCTIONS = BANDS * ROWS
 SIGMAS = 4.5
-BLOCK = 1024  # members of a bucket in one of its blocks; a group holds two
-BROADCAST_IDS = 2_000_000  # 16 MB
+BLOCK = 1_000_000  # shingles of the members of one block; a group holds two blocks
+SEEN = 100_000  # sets of a task that it knows as repeated
+BROADCAST_ROWS = 1_000_000  # of two longs
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,18 +47,18 @@ def universal() -> tuple[np.ndarray, np.ndarray]:
     return r.integers(0, 2**63, FUNCTIONS, np.uint64) * np.uint64(2) + np.uint64(1), r.integers(0, 2**63, FUNCTIONS, np.uint64)
 
 
-@lru_cache(maxsize=1)
 def memo() -> WordMemo:
-    return WordMemo(lambda w: int.from_bytes(blake2b(w, digest_size=8).digest(), "little"))
+    """Hashes of the words met; each task has its own, so that none outlives its stage."""
+    return WordMemo(lambda w: int.from_bytes(blake2b(w, digest_size=8).digest(), "little"), 100_000)
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
+def shingles(text: str | None, size: int, hashes: WordMemo) -> np.ndarray:
     """The sorted different hashes of the text's shingles of `size` words; one of the whole
     sequence if it has fewer words."""
     found = text.encode().lower().split() if text else []  # bytes: A-Z only, and ASCII white space
     if not found:
         return np.empty(0, np.uint64)
-    w = np.array(list(map(memo().__getitem__, found)), np.uint64)
+    w = np.array(list(map(hashes.__getitem__, found)), np.uint64)
     n = min(size, len(w))
     h = np.full(len(w) - n + 1, n, np.uint64)
     for k in range(n):
@@ -72,52 +77,93 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
-    """i, n, same (hash of the set), bands, signature of each row of (i, t)."""
+    """i, x, n, same (hash of the set), bands, signature of each row of (i, x, t). Where a task meets a set
+    again, bands and signature are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, seen = memo(), set()
         for batch in batches:
             for at in range(0, len(batch), 2000):
-                rows = []
-                for text in batch["t"].iloc[at : at + 2000]:
-                    s = shingles(text, size)
+                part, rows = batch.iloc[at : at + 2000], []
+                for text in part["t"]:
+                    s = shingles(text, size, hashes)
                     if not len(s):
                         rows.append((0, None, None, None))
                         continue
+                    same = blake2b(s.tobytes(), digest_size=16).digest()
+                    if same in seen:
+                        rows.append((len(s), same, None, None))
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(same)
                     m = minima(s)
                     band = np.full(BANDS, 7, np.uint64) + np.arange(BANDS, dtype=np.uint64)
                     for k in range(ROWS):
                         band = (band ^ m[k::ROWS]) * MULTIPLY
                         band ^= band >> np.uint64(31)
-                    same = blake2b(s.tobytes(), digest_size=16).digest()
                     rows.append((len(s), same, band.astype(np.int64), m.astype(np.uint8).tobytes()))
                 out = pd.DataFrame(rows, columns=["n", "same", "bands", "signature"])
-                out.insert(0, "i", batch["i"].iloc[at : at + 2000].astype("Int64").array)
+                out.insert(0, "i", part["i"].astype("Int64").array)
+                out.insert(1, "x", part["x"].array)
                 yield out
 
-    return docs.mapInPandas(run, "i long, n long, same binary, bands array<long>, signature binary")
+    return docs.mapInPandas(run, "i long, x long, n long, same binary, bands array<long>, signature binary")
+
 
+def floor(percent: int) -> float:
+    """The least share of equal signature bytes with which the similarity is still in question."""
+    return percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / FUNCTIONS) ** 0.5
 
-def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """i, s: the shingle sets of the documents named in `ids` (column i)."""
-    n = ids.count()
-    some = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "i", "left_semi")
+
+def near(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes allow the similarity."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def bucket_members(every: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """key, k: the buckets with several classes, and these (k, i, n, same, signature), where i is the smallest id
+    of the class's rows. The bands of all classes are shuffled twice; what follows is as large as the
+    number of classes that share a bucket."""
+    known = every.filter("i is not null and n > 0")
+    rows = known.filter("bands is not null").select(F.explode("bands").alias("key"), F.xxhash64("same").alias("h"))
+    shared = rows.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("key")
+    met = spool(rows.join(spool(shared, "shared"), "key"), "met")
+    one = known.filter("bands is not null").withColumn("h", F.xxhash64("same")).join(met.select("h").distinct(), "h", "left_semi")
+    one = one.groupBy("same").agg(F.first(F.struct("n", "signature")).alias("r"))
+    ids = known.groupBy("same").agg(F.min("i").alias("i"))
+    classes = one.join(ids, "same").select(F.monotonically_increasing_id().alias("k"), "i", "r.n", "same", "r.signature")
+    classes = spool(classes, "classes")
+    members = met.join(classes.select(F.xxhash64("same").alias("h"), "k"), "h").select("key", "k").distinct()
+    return spool(members, "members"), classes
+
+
+def full_sets(docs: DataFrame, every: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """k, s: the shingle sets of the classes, each from the text of one of its rows. Texts are shuffled only
+    if there are more classes than a broadcast may hold."""
+    row = every.select("same", "i", "x").join(classes.select("same", "k", "i"), ["same", "i"])
+    row = spool(row.groupBy("k").agg(F.min(F.xxhash64("i", "x")).alias("row")), "rows")
+    few = row.count()
+    some = docs.select(F.xxhash64("i", "x").alias("row"), "t").join(F.broadcast(row) if few <= BROADCAST_ROWS else row, "row").select("k", "t")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, seen = memo(), set()
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
-                yield pd.DataFrame({"i": part["i"], "s": [shingles(t, size).astype(np.int64) for t in part["t"]]})
+                part = part[~part["k"].duplicated() & ~part["k"].isin(seen)]
+                seen.update(part["k"])
+                yield pd.DataFrame({"k": part["k"], "s": [shingles(t, size, hashes).astype(np.int64) for t in part["t"]]})
 
-    return some.mapInPandas(run, "i long, s array<long>").dropDuplicates(["i"])
-
-
-def floor(percent: int) -> float:
-    """The least share of equal signature bytes with which the similarity is still in question."""
-    return percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / FUNCTIONS) ** 0.5
+    sets = spool(some.mapInPandas(run, "k long, s array<long>"), "sets")
+    # Rows that repeat an id and a text, over several tasks.
+    return sets if sets.count() == few else spool(sets.dropDuplicates(["k"]), "sets")
 
 
-def similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose signatures do not rule out the similarity."""
+def star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v): confirmed links of the buckets' smallest members with the others."""
+    centre = members.groupBy("key").agg(F.min("k").alias("u"))
+    pairs = members.join(centre, "key").filter("k <> u").select("u", F.col("k").alias("v")).distinct()
     least = floor(percent)
 
     def agree(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -126,123 +172,136 @@ def similar(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), FUNCTIONS) for s in (a, b))
         return pd.Series((x == y).mean(axis=1) >= least)
 
-    signature = lambda c: classes.select(F.col("i").alias(c), F.col("signature").alias(f"s{c}"))
-    both = pairs.join(signature("v"), "v").join(signature("u"), "u")
-    return both.filter(F.pandas_udf(agree, "boolean")("su", "sv")).select("u", "v")
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (u, v) that the full sets confirm: 100 * intersection >= percent * union."""
-    ends = pairs.select(F.col("u").alias("i")).unionByName(pairs.select(F.col("v").alias("i"))).distinct()
-    sets = spool(full_sets(docs, ends, size), "sets")
-    named = lambda c: sets.select(F.col("i").alias(c), F.col("s").alias(f"s{c}"))
-    both = pairs.join(named("v"), "v").join(named("u"), "u")
+    end = lambda c: classes.select(F.col("k").alias(c), F.col("n").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
+    both = pairs.join(end("v"), "v").join(end("u"), "u").filter(near("nu", "nv", percent))
+    likely = spool(both.filter(F.pandas_udf(agree, "boolean")("su", "sv")).select("u", "v"), "pairs")
+    named = lambda c: sets.select(F.col("k").alias(c), F.col("s").alias(f"s{c}"))
+    both = likely.join(named("v"), "v").join(named("u"), "u")
     common = F.size(F.array_intersect("su", "sv"))
     return both.filter(100 * common >= percent * (F.size("su") + F.size("sv") - common)).select("u", "v")
 
 
-def near(a: str, b: str, percent: int) -> Column:
-    """Whether the sizes allow the similarity."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-
-def star_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(u, v): each bucket's smallest member with its others."""
-    centre = rows.groupBy("key").agg(F.min(F.struct("i", "n")).alias("c"), F.count("*").alias("m")).filter("m > 1")
-    centre = spool(centre.select("key", F.col("c.i").alias("u"), F.col("c.n").alias("nu")), "centres")
-    return rows.join(centre, "key").filter(F.col("i") != F.col("u")).filter(near("n", "nu", percent)).select("u", F.col("i").alias("v")).distinct()
-
-
-def allowed(i: np.ndarray, n: np.ndarray, c: np.ndarray, part: np.ndarray, signature: np.ndarray, percent: int, best: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of one group: of different components (and, where the group holds two blocks, of different
-    blocks), with sizes and signatures that allow the similarity; with `best` only the likeliest of each
-    member and other component."""
-    order, least, two = np.argsort(n, kind="stable"), floor(percent), part.min() != part.max()
-    i, n, c, part, signature = i[order], n[order], c[order], part[order], signature[order]
-    last = np.searchsorted(n, n * 100 // percent, side="right")
-    for u in range(len(i)):
-        v = np.arange(u + 1, last[u])
-        v = v[(c[v] != c[u]) & ((part[v] != part[u]) if two else True)]
-        if len(v):
-            share = (signature[v] == signature[u]).mean(axis=1)
-            v, share = v[share >= least], share[share >= least]
-            if best and len(v):
-                top = np.lexsort((-share, c[v]))
-                v = v[top[np.append(True, c[v][top][1:] != c[v][top][:-1])]]
-            for k in v:
-                yield (int(i[u]), int(i[k])) if i[u] < i[k] else (int(i[k]), int(i[u]))
-
-
-def mixed_pairs(classes: DataFrame, component: DataFrame, percent: int, best: bool) -> DataFrame:
-    """(u, v) of different components, from the buckets that hold several."""
-    labelled = classes.join(component, classes["i"] == component["node"], "left").select("i", "n", "bands", F.coalesce("component", "i").alias("c"))
-    rows = labelled.select(F.explode("bands").alias("key"), "i", "n", "c")
-    held = rows.groupBy("key").agg(F.min("c").alias("a"), F.max("c").alias("b"), F.count("*").alias("m")).filter("a <> b")
-    held = spool(held.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "mixed")
-    # A large bucket is dealt into blocks; each pair of blocks is one group.
-    members = rows.join(held, "key").withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
-    members = members.withColumn("part", F.pmod(F.xxhash64("i"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("key", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "i", "n", "c", "part")
-    full = members.join(classes.select("i", "signature"), "i").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "i")
+def joining_links(g: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between the rows (k, n, c, far, part, signature, s) of one group that join
+    components: between rows that are `far` and any others, of different blocks where the group holds two."""
+    k, n, c, far, part = (g[x].to_numpy() for x in ("k", "n", "c", "far", "part"))
+    signature = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), FUNCTIONS)
+    sets, two, least = g["s"].tolist(), part.min() != part.max(), floor(percent)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    now, links = c.copy(), []
+    for u in np.flatnonzero(far):
+        v = np.flatnonzero((now != now[u]) & (100 * np.minimum(n, n[u]) >= percent * np.maximum(n, n[u])) & ((part != part[u]) | (not two)) & (~far | (k > k[u])))
+        v = v[(signature[v] == signature[u]).mean(axis=1) >= least] if len(v) else v
+        while len(v):
+            some, v = v[:256], v[256:]
+            size = n[some]
+            mine, others = sets[u], np.concatenate([sets[x] for x in some])
+            hit = mine[np.minimum(np.searchsorted(mine, others), len(mine) - 1)] == others
+            common = np.add.reduceat(hit, np.append(0, size.cumsum()[:-1]), dtype=np.int64)
+            for x in some[100 * common >= percent * (size + n[u] - common)]:
+                a, b = find(int(c[x])), find(int(c[u]))
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((int(k[u]), int(k[x])))
+            v = v[[find(int(c[x])) != find(int(c[u])) for x in v]] if links else v
+        if links:
+            now = np.array([find(int(x)) for x in c])
+    return links
+
+
+def mixed_links(members: DataFrame, classes: DataFrame, sets: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """(u, v): confirmed links of different components, from the buckets of three or more that hold several."""
+    of = classes.select("k", "n").join(component, classes["k"] == component["node"], "left").select("k", "n", F.coalesce("component", "k").alias("c"))
+    of = spool(of, "of")
+    centre = members.groupBy("key").agg(F.min("k").alias("u"), F.count("*").alias("m")).filter("m > 2")
+    # Every class with the components of the centres that it meets.
+    rows = members.join(centre, "key").join(of.select(F.col("k").alias("u"), F.col("c").alias("at")), "u").select("at", "k").distinct().join(of, "k")
+    rows = rows.withColumn("far", F.col("c") != F.col("at"))
+    held = rows.groupBy("at").agg(F.sum("n").alias("all"), F.sum(F.col("far").cast("int")).alias("few")).filter("few > 0")
+    held = held.select("at", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
+    rows = spool(rows.join(held, "at"), "mixed")
+    # Beyond a few blocks, each pair of blocks of which one has far rows is one group.
+    rows = rows.withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    blocks = rows.groupBy("at", "part", "blocks").agg(F.max("far").alias("any")).filter("any").select("at", F.col("part").alias("with"), "blocks")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    groups = blocks.select("at", "with", other.alias("part")).select("at", "part", F.least("part", "with").alias("p"), F.greatest("part", "with").alias("q"))
+    groups = groups.unionByName(groups.select("at", F.when(F.col("part") == F.col("p"), F.col("q")).otherwise(F.col("p")).alias("part"), "p", "q")).distinct()
+    full = rows.select("at", "k", "n", "c", "far", "part").join(groups, ["at", "part"]).join(classes.select("k", "signature"), "k").join(sets, "k")
+    full = full.repartition("at", "p", "q").sortWithinPartitions("at", "p", "q", "k")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def groups():
-            held = None
+        def groups() -> Iterator[pd.DataFrame]:
+            held: list[pd.DataFrame] = []
+            name = None
             for batch in batches:
-                batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-                k = batch[["key", "x", "y"]].to_numpy()
-                start = np.flatnonzero(np.append(True, (k[1:] != k[:-1]).any(axis=1)))
-                for a, b in zip(start, start[1:]):
-                    yield batch.iloc[a:b]
-                held = batch.iloc[start[-1] :]
-            if held is not None and len(held):
-                yield held
-
-        pairs: set[tuple[int, int]] = set()
+                key = batch[["at", "p", "q"]].to_numpy()
+                start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
+                for a, b in zip(start, np.append(start[1:], len(batch))):
+                    if held and tuple(key[a]) != name:
+                        yield pd.concat(held, ignore_index=True)
+                        held = []
+                    name = tuple(key[a])
+                    held.append(batch.iloc[a:b])
+            if held:
+                yield pd.concat(held, ignore_index=True)
+
         for g in groups():
-            if len(g) > 1:
-                signature = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), FUNCTIONS)
-                pairs.update(allowed(g["i"].to_numpy(), g["n"].to_numpy(), g["c"].to_numpy(), g["part"].to_numpy(), signature, percent, best))
-            if len(pairs) >= 50_000:
-                yield pd.DataFrame(list(pairs), columns=["u", "v"])
-                pairs = set()
-        if pairs:
-            yield pd.DataFrame(list(pairs), columns=["u", "v"])
+            if g["far"].any() and len(g) > 1 and (links := joining_links(g, percent)):
+                yield pd.DataFrame(links, columns=["u", "v"])
 
     return full.mapInPandas(run, "u long, v long").distinct()
 
 
+def linked(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """i, x, n, component of each row, where x is a hash of its text."""
+    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("x"), F.col(f"`{text_col}`").cast("string").alias("t"))
+    every = spool(describe(plain, size), "described")
+    members, classes = bucket_members(every)
+    sets = full_sets(plain, every, classes, size)
+    links = spool(star_links(members, classes, sets, percent), "links")
+    first = spool(components(links), "components")
+    more = spool(mixed_links(members, classes, sets, first, percent), "more")
+    if not more.isEmpty():
+        first = spool(components(links.unionByName(more)), "components")
+
+    joined = first.join(classes.select("k", "i", "same"), first["node"] == F.col("k"))
+    least = joined.groupBy("component").agg(F.min("i").alias("least"))
+    named = joined.join(least, "component").select("same", "least")
+    copies = every.filter("i is not null and n > 0").groupBy("same").agg(F.min("i").alias("least"), F.max("i").alias("most")).filter("least <> most")
+    named = named.unionByName(copies.select("same", "least")).groupBy("same").agg(F.min("least").alias("least"))
+    out = every.select("i", "x", "n", "same").join(spool(named, "named"), "same", "left")
+    # Without an entry a document is its own component.
+    return out.select("i", "x", "n", F.when(F.col("i").isNotNull(), F.coalesce("least", "i")).alias("component"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable over links), kept.
 
     Words are what stands between ASCII white space, with A-Z lower-cased. Two documents are linked
     if their shingle sets have at least percent / 100 of their union in common. A null text, or one
     without words, has an empty set and no links. Rows that repeat an id with the same set have one
-    component; an id with different texts is one node. A row without an id has no component and is
+    component; those that repeat it with different sets are documents of their own. A row without an id has no component and is
     kept. Only the two named columns are read; an empty table gives no rows; whole texts count.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    every = spool(describe(plain, size), "described")
-    known = every.filter("i is not null and n > 0")
-    classes = known.groupBy("same").agg(F.min(F.struct("i", "n", "bands", "signature")).alias("r"), F.count("*").alias("copies"))
-    classes = spool(classes.select("same", "copies", "r.*"), "classes")
+    found = linked(docs, id_col, text_col, size, percent)
+    return found.select(F.col("i").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("i") == F.col("component"), F.lit(True)).alias("kept"))
 
-    rows = classes.select(F.explode("bands").alias("key"), "i", "n")
-    pairs = spool(similar(star_pairs(rows, percent), classes, percent), "pairs")
-    links = spool(confirmed(pairs, plain, size, percent), "links")
-    first = spool(components(links), "components")
 
-    for best in (True, False):
-        apart = spool(mixed_pairs(classes, first, percent, best), "apart")
-        more = spool(confirmed(apart, plain, size, percent), "more")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            first = spool(components(links), "components")
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, with all their columns, that near_duplicates keeps.
 
-    joined = classes.join(first, classes["i"] == first["node"], "left").select("same", F.coalesce("component", "i").alias("component_id"), "i", "copies")
-    joined = spool(joined.filter("copies > 1 or component_id <> i").select("same", "component_id"), "named")
-    out = every.select("i", "n", "same").join(joined, "same", "left")
-    # Without an entry a document is its own component.
-    component = F.when(F.col("i").isNotNull(), F.coalesce("component_id", "i"))
-    return out.select(F.col("i").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("i") == component, F.lit(True)).alias("kept"))
+    Of each group the document with the smallest id stays; rows that repeat its id and text are the same
+    document and stay with it. Rows without an id, a text or words stay.
+    """
+    found = linked(docs, id_col, text_col, size, percent)
+    own, text = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "text"))
+    lost = spool(found.filter("i <> component").select(F.col("i").alias(own), F.col("x").alias(text)).distinct(), "lost")
+    return docs.join(lost, (F.col(f"`{id_col}`").cast("long") == F.col(own)) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col(text)), "left_anti")
