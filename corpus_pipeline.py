@@ -40,9 +40,7 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs, size=5, percent=80)
-    lost = spool(found.filter(~F.col("kept")).select("doc_id"), "lost")
-    return docs.join(linedup.small(lost), "doc_id", "left_anti").select(*docs.columns)
+    return minhash.drop_near_duplicates(docs, size=5, percent=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
