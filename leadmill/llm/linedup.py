@@ -12,7 +12,8 @@ distance of every pair is verified on the texts.
 
 A line has as many variants as characters, so only lines that can have a neighbour emit them. An edit
 lies in one half of a line; the other half stays as it is. Lines meet by the hash of a half (and the
-shorter line's length); those whose halves meet no other line have no neighbour.
+shorter line's length); those whose halves meet no other line have no neighbour. The edit bound is one: the prior
+step and the two kinds of keys hold for it alone.
 """
 
 from __future__ import annotations
@@ -27,15 +28,16 @@ from pyspark.sql import functions as F
 
 from .common import spool
 
-BROADCAST_ROWS = 400_000  # of at most 40 bytes; beyond that both sides are shuffled
+BROADCAST_BYTES = 16_000_000  # of rows; beyond that both sides are shuffled
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 ROWS_OUT = 100_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """`df` marked for broadcast if it is small by count."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, width: int) -> DataFrame:
+    """`df`, of rows of at most `width` bytes, marked for broadcast if they are few enough."""
+    most = BROADCAST_BYTES // width
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def spread(x: np.ndarray) -> np.ndarray:
@@ -59,8 +61,8 @@ def deletions(line: str) -> tuple[int, np.ndarray]:
 
 
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """i, at, line: the compared lines of (i, t), with their places."""
-    rows = docs.filter("i is not null and t is not null").select("i", F.posexplode(F.split("t", "\n")).alias("at", "line"))
+    """i, x, at, line: the compared lines of (i, x, t), with their places."""
+    rows = docs.filter("i is not null and t is not null").select("i", "x", F.posexplode(F.split("t", "\n")).alias("at", "line"))
     return rows.filter(F.length("line") >= min_chars)
 
 
@@ -85,8 +87,8 @@ def lines_with_chance(lines: DataFrame) -> DataFrame:
     keyed = halves(lines)
     meet = keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("key")
     meet = spool(meet, "halves")
-    some = spool(keyed.join(small(meet), "key", "left_semi").select("h").distinct(), "chance")
-    return lines.withColumn("h", F.xxhash64("line")).join(small(some), "h", "left_semi").drop("h")
+    some = spool(keyed.join(small(meet, 40), "key", "left_semi").select("h").distinct(), "chance")
+    return lines.withColumn("h", F.xxhash64("line")).join(small(some, 40), "h", "left_semi").drop("h")
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -130,9 +132,9 @@ def neighbours(lines: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, min_chars: int) -> DataFrame:
-    """i, gone (places of the lines to remove) of the documents (i, t) that lose any."""
+    """i, x, gone (places of the lines to remove, ascending) of the documents (i, x, t) that lose any."""
     lines = occurrences(docs, min_chars)
-    first = F.min(F.struct("i", "at")).alias("first")
+    first = F.min(F.struct("i", "x", "at")).alias("first")
     repeated = lines.groupBy(identity("line").alias("m")).agg(first, F.count("*").alias("n")).filter("n > 1").select("m", "first")
     chance = lines_with_chance(lines).groupBy(identity("line").alias("m")).agg(first, F.first("line").alias("line"))
     chance = spool(chance.select("m", "line", "first", F.monotonically_increasing_id().alias("id")), "lines")
@@ -140,29 +142,48 @@ def removals(docs: DataFrame, min_chars: int) -> DataFrame:
     gone = chance.join(late, "id", "left_semi").select("m", F.lit(True).alias("late"))
     marked = repeated.join(gone, "m", "full").select("m", "first", F.coalesce("late", F.lit(False)).alias("late"))
     marked = spool(marked, "marked")
-    lost = lines.withColumn("m", identity("line")).join(small(marked), "m").filter(F.col("late") | (F.struct("i", "at") != F.col("first")))
-    return spool(lost.select("i", "at").distinct().groupBy("i").agg(F.collect_list("at").alias("gone")), "gone")
+    lost = lines.withColumn("m", identity("line")).join(small(marked, 72), "m").filter(F.col("late") | (F.struct("i", "x", "at") != F.col("first")))
+    return spool(lost.select("i", "x", "at").distinct().groupBy("i", "x").agg(F.array_sort(F.collect_list("at")).alias("gone")), "gone")
 
 
-def deduplicate_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 30) -> DataFrame:
-    """The rows of `docs` with repeated lines taken out of `text_col`, and n_lines, n_removed.
+def without(lines: Column, gone: Column) -> Column:
+    """The lines but those at the places `gone` (ascending), joined: what stands between two places is one
+    slice, so the work is in proportion to the lines."""
+
+    def joined(s: Column) -> Column:
+        start = lambda n: F.coalesce(F.get(s["gone"], n - 1) + 1, F.lit(0))
+        length = lambda n: F.coalesce(F.get(s["gone"], n), F.size(s["lines"])) - start(n)
+        between = F.filter(F.sequence(F.lit(0), F.size(s["gone"])), lambda n: length(n) > 0)
+        return F.array_join(F.transform(between, lambda n: F.array_join(F.slice(s["lines"], start(n) + 1, length(n)), "\n")), "\n")
+
+    # An array of one, so that the split is a value and not computed for every slice.
+    return F.transform(F.array(F.struct(lines.alias("lines"), gone.alias("gone"))), joined)[0]
+
+
+def deduplicate_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 30, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """The rows of `docs` with repeated lines taken out of `text_col`, and two counts named by `counts`: the
+    lines there were, and those removed.
 
     A line of at least `min_chars` characters goes if an earlier one, by (id, place), is the same or one
     edit away, itself kept or not. Shorter lines always stay. Lines are what line feeds part;
     the rest is joined by them again. A null text stays null with no lines; an empty text has one. Rows
-    without an id are neither compared nor changed. Rows that repeat an id count as one document: the
-    same places go in each. All other columns stay, but for any named n_lines or n_removed; an empty table gives no rows.
+    without an id are neither compared nor changed. Rows that repeat an id and a text count as one document: the
+    same places go in each; different texts of one id follow each other in a fixed order. All other columns stay, but for any with a name of
+    the counts; an empty table gives no rows.
     """
-    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    own, places = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "gone"))
-    gone = removals(plain, min_chars).select(F.col("i").alias(own), F.col("gone").alias(places))
-    joined = docs.join(small(gone), docs[f"`{id_col}`"].cast("long") == gone[own], "left")
-    lines = F.split(F.col(f"`{text_col}`"), "\n")
-    left = F.filter(F.transform(lines, lambda x, k: F.struct(x.alias("x"), k.alias("k"))), lambda s: ~F.array_contains(places, s["k"]))
-    text = F.when(F.col(places).isNull(), F.col(f"`{text_col}`")).otherwise(F.array_join(F.transform(left, lambda s: s["x"]), "\n"))
+    column = F.col(f"`{text_col}`")
+    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.xxhash64(column.cast("string")).alias("x"), column.cast("string").alias("t"))
+    own, text, places = (f"{n}_{uuid.uuid4().hex}" for n in ("id", "text", "gone"))
+    gone = removals(plain, min_chars)
+    size = gone.agg(F.sum(40 + 8 * F.size("gone"))).first()[0] or 0
+    gone = F.broadcast(gone) if size <= BROADCAST_BYTES else gone
+    gone = gone.select(F.col("i").alias(own), F.col("x").alias(text), F.col("gone").alias(places))
+    joined = docs.join(gone, (F.col(f"`{id_col}`").cast("long") == F.col(own)) & (F.xxhash64(column.cast("string")) == F.col(text)), "left")
+    lines = F.split(column.cast("string"), "\n")
+    left = F.when(F.col(places).isNull(), column).otherwise(without(lines, F.col(places)))
     counted = {
-        "n_lines": F.when(F.col(f"`{text_col}`").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
-        "n_removed": F.when(F.col(places).isNull(), F.lit(0)).otherwise(F.size(places)).cast("long"),
+        counts[0]: F.when(column.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
+        counts[1]: F.when(F.col(places).isNull(), F.lit(0)).otherwise(F.size(places)).cast("long"),
     }
-    kept = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in counted]
+    kept = [left.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in counted]
     return joined.select(*kept, *(c.alias(n) for n, c in counted.items()))

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -337,3 +338,22 @@ def test_toxicity_counts_held_rows_that_the_unit_does_not_take(spark, monkeypatc
     monkeypatch.setattr(toxicity, "word_counts", lambda d: (given.append(d.filter("y is not null").count()), count(d))[1])
     toxicity.score_toxicity(docs, marks, F.lit(True), most=5)
     assert given == [400 - 2 * 5]
+
+
+def test_many_repeated_lines_of_one_document(spark):
+    """Removal is in proportion to the lines: 200,000 equal ones, and others among them."""
+    line = "a line of more than thirty characters, again and again"
+    text = "\n".join(line if k % 100 else f"\nshort {k}" for k in range(200_000))
+    start = time.time()
+    got = linedup.deduplicate_lines(spark.createDataFrame([(1, text), (2, "x"), (3, f"{line}\n\n{line}s\n")], "doc_id long, text string")).collect()
+    assert time.time() - start < 60
+    seen = set()
+    want = "\n".join(x for x in text.split("\n") if len(x) < 30 or not (x in seen or seen.add(x)))
+    assert {r.doc_id: r.text for r in got} == {1: want, 2: "x", 3: "\n"}
+
+
+def test_lines_of_a_repeated_id(spark):
+    a, b = prose(random.Random(1), 8), prose(random.Random(2), 8)
+    rows = [(1, a), (5, a), (5, b), (5, b)]
+    got = sorted((r.doc_id, r.text) for r in linedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(1, a), (5, ""), (5, b), (5, b)])
