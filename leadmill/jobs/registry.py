@@ -7,6 +7,7 @@ Which compounds are docked, predicted, used or clustered is read from attributes
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.fingerprint import sign_bits
 from ..operators import acquire, cluster, filters, merge, similarity, surrogate
+from ..schema import Settings
+from ..store import Campaign, file_system, shared_dir
+from . import screening
 
 CUTOFF = -80000.0
 
@@ -346,3 +350,97 @@ def surrogate_predict(spark, sf_dir):
     rows = _training_rows(Tables(spark, sf_dir))
     model = surrogate.train(rows, "embedding", "score", "vec_id")
     return surrogate.predict(model, rows, "embedding", 1).select("vec_id", F.round("pred_score", 6).alias("pred_score"), "pred_version")
+
+
+@query("""with {STATE}, i as (select distinct l_partkey + 100 compound_id from lineitem where l_quantity >= 49)
+select i.compound_id, s.smilesid from i left join state s on s.compound_id = i.compound_id""")
+def title_lookup(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    asked = t.lineitem.filter("l_quantity >= 49").select((F.col("l_partkey") + 100).alias("compound_id"))
+    return merge.titles_of(asked, t.state())
+
+
+@query("""with {STATE}, {HITS}, f as (select k, max(case when method = 'a' then sim end) sim_fp, max(case when method = 'b' then sim end) sim_pharm from hits where sim >= 0.1 group by k)
+select 'C' || cast(s.compound_id as varchar) smiles, s.smilesid || '/' || cast(s.compound_id as varchar) smilesid, s.dock_score, s.pred_score, f.sim_fp, f.sim_pharm, s.dock_iteration, c.cluster_id
+from state s join clusters c on s.compound_id = c.compound_id left join f on f.k = s.compound_id where s.dock_score <= {CUTOFF}""")
+def export_name_format(spark, sf_dir):
+    """The eight columns of a result file, titles joined with ids."""
+    t = Tables(spark, sf_dir)
+    state = merge.attach_similarities(t.state(), t.hits().filter("sim >= 0.1"), "compound_id").withColumnsRenamed({"sim_a": "sim_fp", "sim_b": "sim_pharm"})
+    return merge.export_table(state.withColumn("smiles", F.concat(F.lit("C"), F.col("compound_id").cast("string"))), t.clusters(), CUTOFF)
+
+
+@query("""with h as (select case when l_linestatus = 'F' then 'a' else 'b' end method, l_suppkey query, l_partkey k, l_orderkey title, l_discount sim from lineitem where l_discount >= 0.05),
+r as (select *, row_number() over (partition by method, query order by sim desc, k, title) rn from h) select method, query, k, title, sim from r where rn <= 3""")
+def best_hits_per_query(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    hits = t.lineitem.select(F.when(F.col("l_linestatus") == "F", "a").otherwise("b").alias("method"), F.col("l_suppkey").alias("query"), F.col("l_partkey").alias("k"), F.col("l_orderkey").alias("title"), F.col("l_discount").alias("sim"))
+    return merge.best_hits_per_query(hits.filter("sim >= 0.05"), 3)
+
+
+_LIMIT_NAMES = ("mw", "slogp", "hba", "hbd", "rotbonds", "tpsa")
+
+
+@query("select " + ", ".join(f"max(case when p_size % 6 = {k} then {side} end) {n}_{name}" for k, n in enumerate(_LIMIT_NAMES) for name, side in (("low", "p_retailprice - p_size"), ("high", "p_retailprice"))) + " from part")
+def property_limits(spark, sf_dir):
+    """A campaign's limits, one row from many; names in upper case."""
+    name = F.element_at(F.array(*(F.lit(n.upper()) for n in _LIMIT_NAMES)), (F.col("p_size") % 6 + 1).cast("int"))
+    return filters.limits_of(Tables(spark, sf_dir).part.select(name.alias("property"), (F.col("p_retailprice") - F.col("p_size")).alias("low"), F.col("p_retailprice").alias("high")))
+
+
+class VectorSpace:
+    """Providers of a campaign over the `embeddings` table: a molecule `v<vec_id>` is its vector, its hash the signs of the first
+    components, either half of its signs one method's fingerprint; a score is a function of the vector."""
+
+    def __init__(self, embeddings: DataFrame):
+        self.rows = embeddings
+
+    def half(self, method: str) -> DataFrame:
+        start = 1 if method == "fp" else 33
+        return similarity.fingerprints(self.rows, "vec_id", sign_bits(F.slice("embedding", start, 32), 32))
+
+    def search(self, queries: DataFrame) -> DataFrame:
+        wanted = queries.select(F.col("compound_id").alias("query"), F.substring("smiles", 2, 20).cast("long").alias("id"))
+        found = []
+        for method in ("fp", "pharm"):
+            rows = self.half(method)
+            pairs = similarity.similar_pairs(rows.join(wanted, "id", "left_semi"), rows, 50)
+            name = lambda c: F.concat(F.lit(c), F.col("h").cast("string"))
+            found.append(pairs.join(wanted, F.col("q") == F.col("id")).select(F.lit(method).alias("method"), "query", name("v").alias("k"), name("t").alias("title"), "sim"))
+        return found[0].unionByName(found[1])
+
+    def prepare(self, rows: DataFrame) -> DataFrame:
+        own = self.rows.select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("k"), F.col("embedding").cast("array<double>").alias("vector"))
+        ready = rows.join(own, "k").withColumn("fp", sign_bits(F.col("vector"), 64))
+        ready = ready.withColumn("reghash", F.hex(F.element_at(sign_bits(F.slice("vector", 1, 16), 16), 1)))
+        return ready.withColumn("mw", 300 + 800 * F.element_at("vector", 1)).withColumn("tpsa", 70 + 200 * F.element_at("vector", 2))
+
+    def score(self, picked: DataFrame) -> DataFrame:
+        value = F.aggregate(F.slice("vector", 1, 8), F.lit(-5.0), lambda a, x: a + x)
+        return picked.select(F.col("compound_id").alias("title"), F.explode(F.array(value, value + 0.25)).alias("score"))
+
+
+def campaign_of(spark: SparkSession, sf_dir: str, settings: Settings) -> Campaign:
+    """A campaign after one round over the vectors, its seeds being each tenth of them."""
+    space = VectorSpace(Tables(spark, sf_dir).embeddings)
+    folder = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}"
+    fs, where = file_system(spark, folder)
+    fs.deleteOnExit(where)
+    campaign = Campaign(spark, folder)
+    seeds = space.rows.filter("vec_id % 10 = 0").select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("smiles"), F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("title"), F.lit(None).cast("double").alias("score"))
+    screening.import_seeds(campaign, seeds, space.prepare, docked=False, settings=settings)
+    screening.dock(campaign, space.score, settings, seeds=True)
+    screening.screening_round(campaign, space.search, space.prepare, space.score, settings)
+    return campaign
+
+
+ROUND = Settings(queries_per_cycle=20, docked_per_round=50, hits_per_query=100, min_similarity=(("fp", 0.5), ("pharm", 0.6)), acquisition="clustering")
+
+
+@query()
+def screening_round(spark, sf_dir):
+    """The state after seeds were docked and one round was run; iterative, so without SQL. Tested step by step."""
+    campaign = campaign_of(spark, sf_dir, ROUND)
+    state = campaign.read("compounds").join(campaign.read("clusters"), "compound_id")
+    scores = (F.round(c, 6).alias(c) for c in ("dock_score", "pred_score"))
+    return state.select("compound_id", "smiles", "smilesid", *scores, "sim_fp", "sim_pharm", "query_cycle", "dock_iteration", "simsearch_cycle", "cluster_id")

@@ -64,6 +64,7 @@ def leaders(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def leader_clusters(rows: DataFrame, percent: int) -> DataFrame:
-    """compound_id, cluster_id (its leader's id), sim: every row with its most similar leader."""
+    """compound_id, cluster_id (its leader's id), sim: every row with its most similar leader, which is
+    similar to at least percent / 100."""
     lead = spool(leaders(rows, percent), "leaders")
-    return assign_to_nearest(lead, rows).select(F.col("h").alias("compound_id"), F.col("q").alias("cluster_id"), "sim")
+    return assign_to_nearest(lead, rows, percent).select(F.col("h").alias("compound_id"), F.col("q").alias("cluster_id"), "sim")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import PropertyLimits
+from ..schema import PropertyLimits, Range
 
 
 def within(limits: dict[str, tuple[float, float]]) -> Column:
@@ -16,7 +17,9 @@ def within(limits: dict[str, tuple[float, float]]) -> Column:
 
 
 def drug_like(rows: DataFrame, limits: PropertyLimits = PropertyLimits()) -> DataFrame:
-    return rows.filter(within({name: (r.low, r.high) for name, r in limits.items()}))
+    """The rows whose descriptors lie in their ranges. Only the descriptors that `rows` has are tested."""
+    ranges = {name: (r.low, r.high) for name, r in limits.items() if name in rows.columns}
+    return rows.filter(within(ranges)) if ranges else rows
 
 
 def limits_of(properties: DataFrame) -> DataFrame:
@@ -26,6 +29,13 @@ def limits_of(properties: DataFrame) -> DataFrame:
     return properties.agg(*(pick(n, s) for n in names for s in ("low", "high")))
 
 
+def chosen_limits(properties: DataFrame, default: PropertyLimits = PropertyLimits()) -> PropertyLimits:
+    """The limits of rows (property, low, high); a property without a row keeps its default."""
+    row = limits_of(properties).first()
+    given = {n: Range(row[f"{n}_low"], row[f"{n}_high"]) for n, _ in default.items() if row[f"{n}_low"] is not None and row[f"{n}_high"] is not None}
+    return replace(default, **given)
+
+
 def require(df: DataFrame, *columns: str) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:

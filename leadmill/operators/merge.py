@@ -97,3 +97,23 @@ def export_found(state: DataFrame, cutoff: float) -> DataFrame:
     """As `export`, of compounds that a similarity search found, clustered or not."""
     hits = state.filter((F.col("dock_score") <= cutoff) & (F.col("sim_fp").isNotNull() | F.col("sim_pharm").isNotNull()))
     return hits.orderBy("dock_score", "compound_id").withColumn("smilesid", F.concat_ws("/", "smilesid", F.col("compound_id").cast("string"))).drop("compound_id")
+
+
+EXPORTED = ("smiles", "smilesid", "dock_score", "pred_score", "sim_fp", "sim_pharm", "dock_iteration", "cluster_id")
+
+
+def export_table(state: DataFrame, clusters: DataFrame, cutoff: float) -> DataFrame:
+    """As `export`, with the eight columns of a result file in their order."""
+    return export(state, clusters, cutoff).select(*EXPORTED)
+
+
+def titles_of(ids: DataFrame, state: DataFrame) -> DataFrame:
+    """compound_id, smilesid of the ids asked for; an unknown id has a null title."""
+    return ids.select("compound_id").distinct().join(state.select("compound_id", "smilesid"), "compound_id", "left")
+
+
+def best_hits_per_query(hits: DataFrame, most: int) -> DataFrame:
+    """Of hits (method, query, k, title, sim) the `most` with the highest similarity of each query and method, ties to the
+    smaller key and title. Tasks cut their own rows before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("method", "query").orderBy(F.desc("sim"), "k", "title"))
+    return hits.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")

@@ -1,8 +1,8 @@
 """Similarity joins of fingerprints: a stated query set against all rows.
 
-The queries are dealt into blocks of bounded size and each block meets each partition of the rows in
-a hash join on (query block), so neither side is broadcast without a bound. Popcounts bound the
-similarity before bits are compared.
+Counts of bits bound the similarity, so they are dealt into bands and a query meets the rows of the bands that it can be
+similar to. Up to QUERY_BLOCK queries are broadcast and the rows stay where they are. More queries are
+dealt into blocks of that size and each block meets the rows in a shuffled join on (band, block, part of the rows).
 """
 
 from __future__ import annotations
@@ -13,31 +13,35 @@ from pyspark.sql import functions as F
 from ..functions.fingerprint import common, popcount, tanimoto
 
 QUERY_BLOCK = 1000
-ROW_SALTS = 16
+BANDS = 16  # of the counts of bits
 
 
 def fingerprints(rows: DataFrame, id_col: str, fp) -> DataFrame:
     return rows.select(F.col(id_col).alias("id"), fp.alias("fp")).withColumn("n", popcount(F.col("fp")))
 
 
-def meet(queries: DataFrame, rows: DataFrame) -> DataFrame:
-    """(q, h, i, nq, nh) for every query and every other row, in blocks: a query goes to ROW_SALTS
-    groups of its block, a row to one group of each block."""
-    n = queries.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    q = queries.select(F.col("id").alias("q"), F.col("fp").alias("fq"), F.col("n").alias("nq"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(ROW_SALTS - 1))))
-    h = rows.select(F.col("id").alias("h"), F.col("fp").alias("fh"), F.col("n").alias("nh"), F.pmod(F.xxhash64("id"), F.lit(ROW_SALTS)).cast("int").alias("salt"))
-    h = h.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    both = q.join(h, ["block", "salt"]).filter("q <> h")
-    return both.select("q", "h", common(F.col("fq"), F.col("fh")).alias("i"), "nq", "nh")
-
-
 def similar_pairs(queries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """q, h, sim of at least percent / 100."""
+    """q, h, sim of every query with every other row that is similar to at least percent / 100."""
+    count, most = queries.agg(F.count("*"), F.max("n")).first()
+    blocks, width = max(1, -(-count // QUERY_BLOCK)), (most or 0) // BANDS + 1
+    band = lambda n: F.floor(n / width).cast("int")
+    # From n bits: n * percent / 100 to n * 100 / percent; what lies above the queries' counts is one more band.
+    low, high = F.ceil(F.col("nq") * percent / 100), F.floor(F.col("nq") * 100 / percent) if percent else F.lit(most or 0)
+    top = F.lit(BANDS)
+    q = queries.select(F.col("id").alias("q"), F.col("fp").alias("fq"), F.col("n").alias("nq"))
+    q = q.withColumn("band", F.explode(F.sequence(band(low), F.least(band(high), top) if percent else top)))
+    h = rows.select(F.col("id").alias("h"), F.col("fp").alias("fh"), F.col("n").alias("nh"), F.least(band(F.col("n")), top).alias("band"))
+    if blocks == 1:
+        both = h.join(F.broadcast(q), "band")
+    else:
+        parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+        q = q.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        h = h.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        both = h.join(q, ["band", "block", "part"])
     able = 100 * F.least("nq", "nh") >= percent * F.greatest("nq", "nh")
+    both = both.filter((F.col("q") != F.col("h")) & able & (F.col("nq") + F.col("nh") > 0)).withColumn("i", common(F.col("fq"), F.col("fh")))
     enough = 100 * F.col("i") >= percent * (F.col("nq") + F.col("nh") - F.col("i"))
-    return meet(queries, rows).filter(able & enough & (F.col("nq") + F.col("nh") > 0)).select("q", "h", tanimoto(F.col("i"), F.col("nq"), F.col("nh")).alias("sim"))
+    return both.filter(enough).select("q", "h", tanimoto(F.col("i"), F.col("nq"), F.col("nh")).alias("sim"))
 
 
 def top_per_query(queries: DataFrame, rows: DataFrame, k: int, percent: int = 0) -> DataFrame:
@@ -46,10 +50,10 @@ def top_per_query(queries: DataFrame, rows: DataFrame, k: int, percent: int = 0)
     return similar_pairs(queries, rows, percent).withColumn("rank", rank).filter(F.col("rank") <= k).select("q", "h", "sim", "rank")
 
 
-def assign_to_nearest(centres: DataFrame, rows: DataFrame) -> DataFrame:
-    """(h, q, sim): each row's most similar centre, a centre itself being its own; ties to the
-    smaller centre."""
+def assign_to_nearest(centres: DataFrame, rows: DataFrame, percent: int = 0) -> DataFrame:
+    """(h, q, sim): each row's most similar centre of those similar to at least percent / 100, a centre itself being
+    its own; ties to the smaller centre."""
     best = F.max(F.struct("sim", (-F.col("q")).alias("order"))).alias("b")
-    near = similar_pairs(centres, rows, 0).groupBy("h").agg(best).select("h", (-F.col("b.order")).alias("q"), "b.sim")
+    near = similar_pairs(centres, rows, percent).groupBy("h").agg(best).select("h", (-F.col("b.order")).alias("q"), "b.sim")
     own = centres.select(F.col("id").alias("h"), F.col("id").alias("q"), F.lit(1.0).alias("sim"))
     return near.join(own.select("h"), "h", "left_anti").unionByName(own)

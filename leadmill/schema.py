@@ -16,7 +16,8 @@ COMPOUNDS = _table(
     sim_fp=DoubleType(), sim_pharm=DoubleType(), query_cycle=IntegerType(), dock_iteration=IntegerType(), pred_version=IntegerType(), simsearch_cycle=IntegerType(),
 )
 CLUSTERS = _table(compound_id=LongType(), cluster_id=LongType())
-MODELS = StructType([StructField("model_version", IntegerType()), StructField("path", StringType())])
+MODELS = StructType([StructField("model_version", IntegerType()), StructField("path", StringType()), StructField("mean", DoubleType()), StructField("deviation", DoubleType())])
+PROPERTIES = StructType([StructField("property", StringType()), StructField("low", DoubleType()), StructField("high", DoubleType())])
 BLOBS = StructType([StructField("name", StringType()), StructField("content", BinaryType())])
 
 
@@ -43,7 +44,7 @@ class PropertyLimits:
 
 @dataclass(frozen=True)
 class Settings:
-    """What a campaign may set; the defaults are the published ones."""
+    """What a campaign may set; the defaults are the published ones. `acquisition` is greedy or clustering."""
 
     train_cutoff: float = 10.0
     min_similarity: tuple[tuple[str, float], ...] = (("fp", 0.5), ("pharm", 0.9))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one below the
-    working folder where the session names none (single-machine tests)."""
+    working folder where the session names none and runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return named or f"file://{os.path.abspath('spark-warehouse')}/checkpoints"
 
 
@@ -32,6 +35,18 @@ def spool(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{folder}/{tag}")
 
 
+def _moved(spark: SparkSession, path: str, to: str) -> None:
+    fs, where = file_system(spark, path)
+    _, target = file_system(spark, to)
+    if fs.exists(target):
+        raise FileExistsError(to)
+    if not fs.exists(where):
+        raise FileNotFoundError(path)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(where, target):
+        raise OSError(f"cannot move {path} to {to}")
+
+
 class Campaign:
     """A campaign's tables, one folder a version: a round writes a new one, none is changed.
 
@@ -67,15 +82,15 @@ class Campaign:
         self.write("counters", self.spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row)))
         return row
 
-    def archive(self, to: str, keep: int = 1) -> None:
+    def archive(self, to: str) -> None:
         """Moves the whole campaign to `to`."""
-        fs, where = file_system(self.spark, self.path)
-        _, target = file_system(self.spark, to)
-        if fs.exists(target):
-            raise FileExistsError(to)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(where, target):
-            raise OSError(f"cannot move {self.path} to {to}")
+        _moved(self.spark, self.path, to)
+
+    @classmethod
+    def restore(cls, spark: SparkSession, archived: str, path: str) -> "Campaign":
+        """Moves an archived campaign back to `path`, which must be free."""
+        _moved(spark, archived.rstrip("/"), path.rstrip("/"))
+        return cls(spark, path)
 
     def clean(self, keep: int = 1) -> None:
         """Drops all but the latest `keep` versions of every table."""

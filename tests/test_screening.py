@@ -6,10 +6,11 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from leadmill.jobs import screening
-from leadmill.schema import Settings
+from leadmill.jobs import registry, screening
+from leadmill.operators import surrogate
+from leadmill.schema import PropertyLimits, Range, Settings
 from leadmill.sources import readers, writers
-from leadmill.store import Campaign
+from leadmill.store import Campaign, shared_dir
 from leadmill.streaming import results
 
 
@@ -100,3 +101,138 @@ def test_results_stream_equals_the_batch(spark, tmp_path):
         results.collect_into(results.arriving(spark, f"file://{folder}"), *args).awaitTermination()
     got = spark.read.parquet(args[0]).groupBy("title").agg(F.min("r_i_docking_score").alias("s")).collect()
     assert {r.title: r.s for r in got} == {1: -1.5, 2: None}
+
+
+def numbered(spark, n=30):
+    return spark.createDataFrame([(f"m{i}", f"seed {i}", float(-(i % 7))) for i in range(n)], "smiles string, title string, score double")
+
+
+def test_import_gives_the_same_ids_again_and_clusters(spark, tmp_path):
+    seeds = numbered(spark).unionByName(numbered(spark, 5))
+    one, two = (Campaign(spark, f"file://{tmp_path}/{n}") for n in "ab")
+    a = screening.import_seeds(one, seeds, prepare, docked=True)
+    b = screening.import_seeds(two, seeds.repartition(7), prepare, docked=True)
+    columns = ["compound_id", "reghash", "smiles", "smilesid", "dock_score"]
+    assert sorted(map(tuple, a.select(columns).collect())) == sorted(map(tuple, b.select(columns).collect()))
+    clusters = one.read("clusters")
+    assert clusters.count() == clusters.select("compound_id").distinct().count() == 35
+
+
+def test_seed_docking_is_iteration_zero(spark, tmp_path):
+    campaign = Campaign(spark, f"file://{tmp_path}/job")
+    screening.import_seeds(campaign, numbered(spark).withColumn("score", F.lit(None).cast("double")), prepare, docked=False)
+    before = campaign.read("compounds")
+    assert before.filter("dock_score is not null or dock_iteration is not null").isEmpty()
+    assert screening.dock(campaign, lambda rows: score(rows).limit(0), Settings(), seeds=True).count() == 30
+    assert campaign.counters()["iteration"] == 0 and len(campaign.versions("compounds")) == 1
+    after = screening.dock(campaign, score, Settings(dock_chunk=7), seeds=True)
+    assert after.filter("dock_iteration = 0 and dock_score is not null").count() == after.filter("compound_id % 5 <> 0").count()
+    assert after.filter("dock_iteration is null").count() == after.filter("compound_id % 5 = 0").count()
+    assert campaign.counters()["iteration"] == 0
+    screening.dock(campaign, lambda rows: score(rows).limit(0), Settings())
+    assert campaign.counters()["iteration"] == 0
+
+
+def test_property_ranges_and_hits_per_query(spark, tmp_path):
+    heavy = lambda rows: prepare(rows).withColumn("mw", F.regexp_extract("k", r"(\d+)", 1).cast("double"))
+    asked = []
+
+    def limited(queries):
+        number = F.regexp_extract("smiles", r"(\d+)", 1).cast("long")
+        asked.append({r.compound_id: r.smiles for r in queries.collect()})
+        near = queries.select(F.col("compound_id").alias("query"), F.explode(F.array(*(number * 3 + 100 + d for d in range(4)))).alias("n"))
+        k = F.concat(F.lit("m"), F.col("n").cast("string"))
+        return near.select(F.lit("fp").alias("method"), "query", k.alias("k"), k.alias("title"), (0.5 + F.col("n") % 4 / 10).alias("sim"))
+
+    campaign = Campaign(spark, f"file://{tmp_path}/job")
+    screening.import_seeds(campaign, numbered(spark), heavy, docked=True)
+    screening.set_limits(campaign, PropertyLimits(mw=Range(0, 999)))
+    screening.set_limits(campaign, PropertyLimits(mw=Range(0, 140)))
+    settings = Settings(queries_per_cycle=5, hits_per_query=2)
+    assert screening.limits_of(campaign, settings).mw == Range(0, 140)
+    model = screening.train_model(campaign, settings)
+    state = screening.search_cycle(campaign, limited, heavy, model, False, settings)
+    known = {r.reghash for r in state.filter("simsearch_cycle is null").collect()}
+    want = {}
+    for smiles in asked[0].values():
+        n = [int(smiles[1:]) * 3 + 100 + d for d in range(4)]
+        for x in sorted(n, key=lambda x: (-(x % 4), f"m{x}"))[:2]:
+            if x <= 140 and f"h{x // 2}" not in known:
+                want.setdefault(f"h{x // 2}", []).append(f"m{x}")
+    assert {r.reghash: r.smiles for r in state.filter("simsearch_cycle = 1").collect()} == {h: min(k) for h, k in want.items()}
+    assert campaign.read("clusters").count() == state.count()
+
+
+@pytest.mark.parametrize("acquisition", ["greedy", "clustering"])
+def test_acquisition_switch(spark, tmp_path, acquisition):
+    campaign = Campaign(spark, f"file://{tmp_path}/job")
+    settings = Settings(queries_per_cycle=3, docked_per_round=2, acquisition=acquisition)
+    screening.import_seeds(campaign, numbered(spark), prepare, docked=True, settings=settings)
+    rows = campaign.read("compounds").orderBy("dock_score", "compound_id").collect()
+    of = {r.compound_id: r.cluster_id for r in campaign.read("clusters").collect()}
+    want, used = [], set()
+    for r in rows:
+        if acquisition == "greedy" or of[r.compound_id] not in used:
+            want.append(r.compound_id)
+            used.add(of[r.compound_id])
+    model = screening.train_model(campaign, settings)
+    state = screening.search_cycle(campaign, search, prepare, model, False, settings)
+    assert {r.compound_id for r in state.filter("query_cycle = 1").collect()} == set(want[:3])
+    with pytest.raises(ValueError):
+        screening.acquisition_clusters(campaign, Settings(acquisition="chance"))
+
+
+def test_a_restart_predicts_with_the_stored_model(spark, tmp_path):
+    campaign = Campaign(spark, f"file://{tmp_path}/job")
+    screening.import_seeds(campaign, numbered(spark), prepare, docked=True)
+    with pytest.raises(LookupError):
+        screening.load_model(campaign)
+    model = screening.train_model(campaign, Settings())
+    predicted = lambda m, c=campaign: sorted((r.compound_id, r.pred_score) for r in surrogate.predict(m, c.read("compounds"), "vector", 1).collect())
+    want = predicted(model)
+    del model
+    campaign.archive(f"file://{tmp_path}/kept/job")
+    with pytest.raises(FileNotFoundError):
+        Campaign.restore(spark, f"file://{tmp_path}/job", f"file://{tmp_path}/x")
+    again = Campaign.restore(spark, f"file://{tmp_path}/kept/job", f"file://{tmp_path}/moved")
+    assert predicted(screening.load_model(again), again) == want == predicted(screening.load_model(again, 1), again)
+    assert [(r.model_version, r.deviation > 0) for r in again.read("models").collect()] == [(1, True)]
+
+
+def test_seeds_and_results_as_files(spark, tmp_path):
+    rows = spark.createDataFrame([(f"C{i}", f"t {i}") for i in range(50)], "smiles string, title string")
+    screening.pick_seeds(rows, f"file://{tmp_path}/seeds", Settings(seeds=20))
+    lines = spark.read.text(f"file://{tmp_path}/seeds")
+    assert lines.count() == lines.distinct().count() == 20 and lines.filter(~F.col("value").rlike(r"^C\d+ t \d+$")).isEmpty()
+    campaign = Campaign(spark, f"file://{tmp_path}/job")
+    screening.import_seeds(campaign, numbered(spark), prepare, docked=True)
+    screening.export_results(campaign, f"file://{tmp_path}/out", Settings(export_cutoff=-6.0))
+    got = "".join(sorted(p.read_text() for p in (tmp_path / "out").glob("part-*"))).splitlines()
+    assert got[0] == "smiles,smilesid,dock_score,pred_score,sim_fp,sim_pharm,dock_iteration,cluster_id"
+    assert len(got) == 5 and got[1].startswith("m") and got[1].split(",")[1].startswith("seed ") and got[1].split(",")[2:7] == ["-6.0", "None", "None", "None", "0"]
+
+
+def test_round_over_vectors(spark, data):
+    campaign = registry.campaign_of(spark, data, registry.ROUND)
+    state, counters = campaign.read("compounds").cache(), campaign.counters()
+    assert counters == {"cycle": 3, "iteration": 1, "models": 1}
+    seeds = state.filter("simsearch_cycle is null")
+    assert seeds.filter("dock_iteration <> 0 or dock_score is null").isEmpty()
+    assert [r[0] for r in state.filter("query_cycle is not null").groupBy("query_cycle").count().orderBy("query_cycle").select("query_cycle").collect()][0] == 1
+    assert state.filter("query_cycle is not null").groupBy("query_cycle").count().filter("count > 20").isEmpty()
+    found = state.filter("simsearch_cycle is not null")
+    assert not found.isEmpty() and found.filter("pred_score is null").isEmpty()
+    assert found.groupBy("reghash").count().filter("count > 1").isEmpty() and found.join(seeds, "reghash", "left_semi").isEmpty()
+    assert found.filter("(sim_fp is null and sim_pharm is null) or sim_fp < 0.5 or sim_pharm < 0.6").isEmpty()
+    assert found.filter("300 + 800 * vector[0] not between 0 and 500 or 70 + 200 * vector[1] not between 0 and 140").isEmpty()
+    docked = state.filter("dock_iteration = 1").join(campaign.read("clusters"), "compound_id")
+    assert 0 < docked.count() <= 50 and docked.groupBy("cluster_id").count().filter("count > 1").isEmpty()
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})()
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getConf": staticmethod(lambda: Session.conf)})()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session)
