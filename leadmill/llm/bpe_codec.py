@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_words import WordMemo, library, packed
+from .common import map_texts
 
 WINDOW_DOUBLINGS = 4
 BASE = 0x2C1B3C6D
@@ -143,4 +144,4 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id
             yield out
 
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    return source.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return map_texts(source, run, schema).withColumnRenamed("id", id_col)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,23 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
 
 
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what goes to Python at once by 8 MB, where the session does not ask for less (by default it is 64 MB)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def map_texts(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """df.mapInPandas(run, schema), in batches of bounded size: what a task holds does not follow the length of texts."""
+    small_batches(df.sparkSession)
+    return df.mapInPandas(run, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

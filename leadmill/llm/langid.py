@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_texts
+
 BITS = 15
 BINS = 1 << BITS
 BLANK = 32
@@ -80,7 +82,7 @@ def count_languages(docs: DataFrame, *, text_col: str, lang_col: str) -> tuple[l
             yield pd.DataFrame({"l": lang, "b": bins.astype(np.int32), "n": total[bins]})
 
     rows = docs.select(F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l")).filter("t is not null and l is not null")
-    got = rows.mapInPandas(run, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toPandas()
+    got = map_texts(rows, run, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["l"].unique())
     counts = np.zeros((len(langs), BINS))
     counts[got["l"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int), got["b"].to_numpy()] = got["n"].to_numpy()
@@ -157,4 +159,4 @@ def identify(docs: DataFrame, learn_from: Column, *, id_col: str = "doc_id", tex
             yield out
 
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    return source.mapInPandas(run, "id long, lang_pred string, score double, n_langs int, mixture string").withColumnRenamed("id", id_col)
+    return map_texts(source, run, "id long, lang_pred string, score double, n_langs int, mixture string").withColumnRenamed("id", id_col)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spool
+from .common import map_texts, spool
 
 BROADCAST_BYTES = 16_000_000  # of rows; beyond that both sides are shuffled
 BASE = 0x9E3779B97F4A7C15
@@ -113,7 +113,7 @@ def variants(lines: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    return lines.select("id", "line").mapInPandas(run, "kind string, key long, id long")
+    return map_texts(lines.select("id", "line"), run, "kind string, key long, id long")
 
 
 def neighbours(lines: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_words import WordMemo
-from .common import spool
+from .common import map_texts, spool
 from .components import components
 
 BANDS, ROWS = 40, 6
@@ -108,7 +108,7 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
                 out.insert(1, "x", part["x"].array)
                 yield out
 
-    return docs.mapInPandas(run, "i long, x long, n long, same binary, bands array<long>, signature binary")
+    return map_texts(docs, run, "i long, x long, n long, same binary, bands array<long>, signature binary")
 
 
 def floor(percent: int) -> float:
@@ -155,7 +155,7 @@ def full_sets(docs: DataFrame, every: DataFrame, classes: DataFrame, size: int)
                 seen.update(part["k"])
                 yield pd.DataFrame({"k": part["k"], "s": [shingles(t, size, hashes).astype(np.int64) for t in part["t"]]})
 
-    sets = spool(some.mapInPandas(run, "k long, s array<long>"), "sets")
+    sets = spool(map_texts(some, run, "k long, s array<long>"), "sets")
     # Rows that repeat an id and a text, over several tasks.
     return sets if sets.count() == few else spool(sets.dropDuplicates(["k"]), "sets")
 
@@ -257,7 +257,7 @@ def mixed_links(members: DataFrame, classes: DataFrame, sets: DataFrame, compone
             if g["far"].any() and len(g) > 1 and (links := joining_links(g, percent)):
                 yield pd.DataFrame(links, columns=["u", "v"])
 
-    return full.mapInPandas(run, "u long, v long").distinct()
+    return map_texts(full, run, "u long, v long").distinct()
 
 
 def linked(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:

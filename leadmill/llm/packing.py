@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_words import ByteBpe
+from .common import map_texts
 
 ID_SHIFT = 40
 END_ID = 1
@@ -191,7 +192,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, ranks_path: str | No
         yield from numbered(pack(pieces(), limits, cut=True), with_ids=True)
 
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    return source.mapInPandas(run, f"{ROW}, ids_crc32 long").withColumnRenamed("id", id_col)
+    return map_texts(source, run, f"{ROW}, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
 def pack_examples(examples: DataFrame, limits: Limits = Limits(), *, id_col: str = "example_id", tokens_col: str = "tokens", loss_col: str = "loss_tokens") -> DataFrame:
@@ -229,4 +230,4 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), *, id_col: str
 
     count = lambda c: F.greatest(F.coalesce(F.col(c).cast("long"), F.lit(0)), F.lit(0))
     source = examples.select(F.col(id_col).cast("long").alias("i"), count(tokens_col).alias("n"), count(loss_col).alias("l"))
-    return source.mapInPandas(run, ROW).withColumnRenamed("id", id_col)
+    return map_texts(source, run, ROW).withColumnRenamed("id", id_col)

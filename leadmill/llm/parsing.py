@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import map_texts, partitions
 
 LEVELS = (2, 3, 4)
 KEEP = 24
@@ -202,4 +202,4 @@ def fingerprint_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
             yield frame
 
     schema = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return in_order(docs, id_col, text_col).mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return map_texts(in_order(docs, id_col, text_col), run, schema).withColumnRenamed("id", id_col)
