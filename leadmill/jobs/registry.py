@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import molecules
 from ..functions.fingerprint import sign_bits
 from ..operators import acquire, cluster, filters, merge, similarity, surrogate
 from ..schema import Settings
@@ -444,3 +445,14 @@ def screening_round(spark, sf_dir):
     state = campaign.read("compounds").join(campaign.read("clusters"), "compound_id")
     scores = (F.round(c, 6).alias(c) for c in ("dock_score", "pred_score"))
     return state.select("compound_id", "smiles", "smilesid", *scores, "sim_fp", "sim_pharm", "query_cycle", "dock_iteration", "simsearch_cycle", "cluster_id")
+
+
+@query("""with m as (select p_partkey, p_size % 9 + 2 n, case p_type when 'PROMO' then 'O' when 'SMALL' then 'N' when 'LARGE' then 'F' else 'X' end e from part)
+select p_partkey, round(n * 12.011 + (2 * n + 1) * 1.008 + case e when 'O' then 15.999 + 1.008 when 'N' then 14.007 + 2 * 1.008 when 'F' then 18.998 else 12.011 + 2 * 15.999 + 1.008 end, 3)::double mw,
+case when e in ('O', 'N', 'X') then 1 else 0 end hba, case when e = 'F' then 0 else 1 end hbd, case when e = 'X' then n - 1 else n - 2 end rotbonds,
+round(case e when 'O' then 20.23 when 'N' then 26.02 when 'F' then 0 else 20.23 + 17.07 end, 2)::double tpsa from m""")
+def molecule_descriptors(spark, sf_dir):
+    """Each part as a chain of carbons with an alcohol, amine, fluoride or acid at its end."""
+    end = F.when(F.col("p_type") == "PROMO", "O").when(F.col("p_type") == "SMALL", "N").when(F.col("p_type") == "LARGE", "F").otherwise("C(=O)O")
+    rows = Tables(spark, sf_dir).part.select("p_partkey", F.concat(F.expr("repeat('C', p_size % 9 + 2)"), end).alias("smiles"))
+    return molecules.describe(rows).select("p_partkey", F.round("mw", 3).alias("mw"), "hba", "hbd", "rotbonds", F.round("tpsa", 2).alias("tpsa"))

@@ -14,6 +14,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import molecules
 from ..functions.fingerprint import sign_bits
 from ..operators import acquire, cluster, filters, merge, similarity, surrogate
 from ..schema import CLUSTERS, COMPOUNDS, MODELS, PROPERTIES, PropertyLimits, Settings
@@ -35,6 +36,14 @@ def shaped(rows: DataFrame) -> DataFrame:
     return rows.select(*columns, "vector", fp.alias("fp"))
 
 
+def prepare_smiles(rows: DataFrame) -> DataFrame:
+    """A `prepare` for SMILES (k): those that can be read, with descriptors, hash, fingerprint, and as vector the descriptors and
+    the counts of bits of the fingerprint's words."""
+    done = molecules.describe(rows, "k")
+    scaled = [F.col(n).cast("double") / (100.0 if n in ("mw", "tpsa") else 1.0) for n in molecules.NAMES]
+    return done.withColumn("vector", F.concat(F.array(*scaled), F.transform("fp", lambda x: F.bit_count(x).cast("double"))))
+
+
 def pick_seeds(collection: DataFrame, path: str, settings: Settings = Settings(), seed: int = 1) -> None:
     """Writes `settings.seeds` rows (smiles, title) of a collection, all if it has fewer, as lines `SMILES title`."""
     rows = collection.withColumn("_id", F.concat_ws("\t", "smiles", "title"))

@@ -236,3 +236,20 @@ def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         shared_dir(Session)
+
+
+def test_campaign_of_smiles(spark, tmp_path):
+    campaign = Campaign(spark, f"file://{tmp_path}/job")
+    rows = [("C" * n + tail, f"{n}{tail}", float(-n)) for n in range(1, 9) for tail in ("O", "N", "C(=O)O")] + [("C(", "bad", 0.0), ("OCC", "again", -1.0)]
+    seeds = spark.createDataFrame(rows, "smiles string, title string, score double")
+    state = screening.import_seeds(campaign, seeds, screening.prepare_smiles, docked=True)
+    assert state.count() == 25 and state.select("reghash").distinct().count() == 24
+
+    def longer(queries):
+        k = F.concat(F.lit("CCCC"), "smiles")
+        return queries.select(F.lit("fp").alias("method"), F.col("compound_id").alias("query"), k.alias("k"), k.alias("title"), F.lit(0.7).alias("sim"))
+
+    settings = Settings(queries_per_cycle=25, limits=PropertyLimits(mw=Range(0, 150)))
+    model = screening.train_model(campaign, settings)
+    found = screening.search_cycle(campaign, longer, screening.prepare_smiles, model, False, settings).filter("simsearch_cycle = 1").collect()
+    assert {r.smiles for r in found} == {"CCCC" + "C" * n + tail for n, tail in ((5, "O"), (5, "N"))} | {"CCCCOCC"}  # 6 to 8 carbons are known, more are too heavy
