@@ -56,9 +56,13 @@ class ChunkCodec:
         named = {i: t for t, i in self.tok.get_vocab(with_added_tokens=True).items()}
         self.names = [named.get(i, "") for i in range(max(named) + 1)]
         self.mask = (1 << max(0, min(12, mean_chunk.bit_length() - 1))) - 1
+        self.bytes_to_name, self.mean_chunk, self.most_chunks = byte_names(), mean_chunk, chunks
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words and chunks met; the vocabulary stays."""
         self.words = WordMemo(self._word)
-        self.chunks = WordMemo(self._chunk, chunks, longest=16 * mean_chunk)
-        self.bytes_to_name = byte_names()
+        self.chunks = WordMemo(self._chunk, self.most_chunks, longest=16 * self.mean_chunk)
 
     def _word(self, word: str) -> bytes:
         """Ids of what stands between blanks."""
@@ -142,6 +146,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id
             out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")][1:])
             out.insert(0, "id", batch["i"].astype("Int64").to_numpy(dtype=object, na_value=None))
             yield out
+        c.forget()
 
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
     return map_texts(source, run, schema).withColumnRenamed("id", id_col)

@@ -12,7 +12,7 @@ class WordMemo(dict):
     """word -> encoded value. Holds at most two generations of `size` words; a word that is
     asked for again moves to the younger one."""
 
-    def __init__(self, encode, size: int = 250_000, longest: int = 64):
+    def __init__(self, encode, size: int = 100_000, longest: int = 64):
         super().__init__()
         self.encode, self.size, self.longest, self.old = encode, size, longest, {}
 
@@ -63,6 +63,10 @@ class ByteBpe:
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             self.plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words met; the vocabulary stays."""
         self.memo = WordMemo(self._after_blank)
 
     def _ids(self, piece: str) -> bytes:

@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 20_000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -34,9 +35,17 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def map_texts(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
-    """df.mapInPandas(run, schema), in batches of bounded size: what a task holds does not follow the length of texts."""
+    """df.mapInPandas(run, schema), in batches of bounded size either way: what a task holds does not follow the length
+    of texts, and what it has held goes back when it ends, as its worker stays for later stages."""
     small_batches(df.sparkSession)
-    return df.mapInPandas(run, schema)
+
+    def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for out in run(batches):
+            for at in range(0, len(out), BATCH_ROWS):
+                yield out.iloc[at : at + BATCH_ROWS]
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInPandas(bounded, schema)
 
 
 def partitions(spark: SparkSession) -> int:
