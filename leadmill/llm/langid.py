@@ -21,6 +21,7 @@ from .common import map_texts
 
 BITS = 15
 BINS = 1 << BITS
+MOST_LANGUAGES = 256  # of 256 KB in a task
 BLANK = 32
 TABLE = 0x20000
 SLICE = 1 << 20
@@ -82,6 +83,8 @@ def count_languages(docs: DataFrame, *, text_col: str, lang_col: str) -> tuple[l
             yield pd.DataFrame({"l": lang, "b": bins.astype(np.int32), "n": total[bins]})
 
     rows = docs.select(F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l")).filter("t is not null and l is not null")
+    if rows.select("l").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"{lang_col} holds more than {MOST_LANGUAGES} languages: every task holds the counts of all of them")
     got = map_texts(rows, run, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["l"].unique())
     counts = np.zeros((len(langs), BINS))
@@ -134,7 +137,7 @@ def identify(docs: DataFrame, learn_from: Column, *, id_col: str = "doc_id", tex
     """Per row: id, lang_pred, score (the proportion of that language), n_langs, mixture (lang=share).
 
     Learns from the rows of `docs` for which `learn_from` holds, with text and language; labels are
-    no input of a prediction. A text that is null or has no letter is `und` with score 0, as is every
+    no input of a prediction. More than 256 languages are refused with ValueError. A text that is null or has no letter is `und` with score 0, as is every
     text if no language could be learned; ties go to the language first by name. Null and repeated
     ids stay as they are, one row each. Only the named columns are read; an empty table gives no
     rows; long texts count whole, in slices.

@@ -26,8 +26,8 @@ from .common import map_texts, partitions
 LEVELS = (2, 3, 4)
 KEEP = 24
 ROUNDS = 3
-STEP = 64  # of the two-step search for a block
-MOST_BLOCKS = 4096
+STEP = 128  # of the two-step search for a block
+MOST_BLOCKS = 32_768
 SLICE = 400_000
 
 _POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
@@ -139,13 +139,13 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(i, t, block, extra), where every block holds consecutive documents by descending id and,
     marked `extra`, the one that follows its last; sorted so within partitions.
 
-    Only ids go to the driver, two for each of at most 4,096 blocks. The text is shuffled once.
+    Only ids go to the driver, two for each of at most 32,768 blocks. The text is shuffled once.
     """
     spark = docs.sparkSession
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     blocks = max(1, min(MOST_BLOCKS, 8 * partitions(spark)))
     shares = [k / blocks for k in range(1, blocks)] or [0.5]
-    cuts = docs.agg(F.percentile_approx(key, shares, 20 * blocks).alias("c")).first()["c"] or []
+    cuts = docs.agg(F.percentile_approx(key, shares, min(20 * blocks, 200_000)).alias("c")).first()["c"] or []
     cuts = sorted(set(cuts))
     array = lambda values: F.lit(values).cast("array<long>") if values else F.array().cast("array<long>")
     under = lambda a: F.size(F.filter(a, lambda c: c < key)).cast("int")

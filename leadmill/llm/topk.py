@@ -78,10 +78,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, *, id_col: str = "ve
     rows = rows.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & finite).withColumn("dim", F.size("v"))
     n, queries = rows.agg(F.count("*"), F.count_if("q")).first()
     vector_blocks, query_blocks = -(-n // vector_block) or 1, -(-queries // query_block) or 1
-    deal = F.monotonically_increasing_id()
+    deal = F.xxhash64(F.monotonically_increasing_id())  # evenly, whatever the partitions' sizes and the ids
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.filter("q").select("id", "v", "dim", (deal % query_blocks).cast("int").alias("qb")).withColumn("vb", every(vector_blocks))
-    right = rows.select("id", "v", "dim", (deal % vector_blocks).cast("int").alias("vb")).withColumn("qb", every(query_blocks))
+    left = rows.filter("q").select("id", "v", "dim", F.pmod(deal, F.lit(query_blocks)).cast("int").alias("qb")).withColumn("vb", every(vector_blocks))
+    right = rows.select("id", "v", "dim", F.pmod(deal, F.lit(vector_blocks)).cast("int").alias("vb")).withColumn("qb", every(query_blocks))
 
     def block(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(x):

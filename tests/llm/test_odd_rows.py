@@ -68,3 +68,36 @@ def test_vectors(spark):
     assert sorted(got[100])[0] == (1, 0, huge)
     assert topk.top_k(d.limit(0), F.lit(True), 3).collect() == []
     assert topk.top_k(d.filter("vec_id = 0"), F.lit(True), 3).collect() == []
+
+
+NOTHING = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # sha256 of the empty string
+BLANK = {
+    "packing": {"start": 0, "length": 1, "doc_tokens": 1},
+    "secrets": {"n_assign": 0, "n_access": 0, "n_hex": 0, "n_model": 0, "base_sha256": NOTHING, "spans": ""},
+    "langid": {"lang_pred": "und", "score": 0.0, "n_langs": 0},
+    "parsing": {"n_chars": 0, "edited_sha256": NOTHING, "fingerprint": "", "edited_fingerprint": "", "near_edited": 1.0},
+    "minhash": {"n_shingles": 0, "kept": True},
+    "linedup": {"n_removed": 0},
+    "toxicity": {"doc_ratio": 0.0, "window_ratio": 0.0, "top_ratio": 0.0},
+    "pii": {"n_email": 0, "n_ip": 0, "n_card": 0, "n_phone": 0, "base_sha256": NOTHING, "spans": "", "scores": ""},
+    "bpe": {"n_tokens": 0, "ids_sha256": NOTHING, "decoded_sha256": NOTHING},
+}
+
+
+@pytest.mark.parametrize("name", BLANK)
+def test_values_of_odd_rows(odd, name):
+    """Null and empty texts have one result; rows of equal texts have equal results; a null id changes nothing."""
+    rows = OPERATORS[name](odd).collect()
+    of = lambda i: [r for r in rows if r.doc_id == i]
+    for i in (20, 21):
+        assert [{c: r[c] for c in BLANK[name]} for r in of(i)] == [BLANK[name]]
+    if name == "linedup":
+        assert of(20)[0].text is None and of(21)[0].text == "" and (of(20)[0].n_lines, of(21)[0].n_lines) == (0, 1)
+        assert len({r.text for r in of(None)}) == 2 and of(24)[0].n_removed == 0 and of(25)[0].n_removed == 1
+    own = {"secrets": ("spans",), "langid": ("lang_pred", "score"), "toxicity": ("score",), "pii": ("spans",), "bpe": ("ids_sha256",), "parsing": ("fingerprint",), "minhash": ("n_shingles",)}
+    if name in own:
+        same = [r for i in (24, 25, 29) for r in of(i)]
+        assert len(same) == 4 and len({tuple(r[c] for c in own[name]) for r in same}) == 1
+        assert {tuple(r[c] for c in own[name]) for r in of(None)} == {tuple(r[c] for c in own[name]) for r in (same[0], of(20)[0])}
+    if name == "minhash":
+        assert {r.component_id for i in (24, 25, 26, 29) for r in of(i)} == {24} and {r.component_id for r in of(None)} == {None}

@@ -1,14 +1,19 @@
 """Whole results of the registered queries against plain Python over the same table."""
 
 import hashlib
+import math
 import random
 import re
 import string
+import zlib
+from collections import defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
-from leadmill.llm import secrets
+from leadmill.llm import langid, parsing, secrets, toxicity
 from leadmill.llm.bpe_words import library, packed
 from leadmill.llm.queries import QUERIES
 
@@ -74,3 +79,86 @@ def test_op10(spark, planted):
         said = tok.decode(ids, skip_special_tokens=False)
         want[i] = (len(ids), hashlib.sha256(packed(ids)).hexdigest(), hashlib.sha256(said.encode()).hexdigest())
     assert got == want
+
+
+def test_op3(spark, data):
+    """Counts of all documents to learn from, and each prediction from them, document by document."""
+    rows = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learnt = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.text is not None and r.lang is not None]
+    langs = sorted({r.lang for r in learnt})
+    counts = np.zeros((len(langs), langid.BINS))
+    for r in learnt:
+        bins, n = langid.trigrams(r.text)
+        counts[langs.index(r.lang), bins] += n
+    probs = langid.probabilities(counts)
+    got = {x.doc_id: x for x in QUERIES["op3_language"](spark, data).collect()}
+    assert set(got) == {r.doc_id for r in rows}
+    for r in rows:
+        x, (bins, n) = got[r.doc_id], langid.trigrams(r.text or "")
+        assert x.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if not len(bins):
+            assert (x.lang_pred, x.score) == ("und", 0.0)
+            continue
+        share = langid.infer(bins, n, probs, 8.0, 12)
+        assert x.lang_pred == langs[int(share.argmax())] and x.score == pytest.approx(float(share.max())) and x.n_langs == (share > 0).sum()
+
+
+def test_op5(spark, data):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    got = {x.doc_id: x for x in QUERIES["op5_fingerprints"](spark, data).collect()}
+    ids = sorted(texts, reverse=True)
+    own = dict(zip(ids, parsing.fingerprints([texts[i] for i in ids])))
+    for k, i in enumerate(ids):
+        n = ids[(k + 1) % len(ids)]
+        third = len(texts[i]) // 3
+        changed = texts[i][: len(texts[i]) - third] + texts[n][:third]
+        other = parsing.fingerprints([changed])[0]
+        x = got[i]
+        assert (x.n_chars, x.edited_sha256) == (len(texts[i]), hashlib.sha256(changed.encode()).hexdigest())
+        assert (x.fingerprint, x.edited_fingerprint) == (parsing.written(own[i]), parsing.written(other))
+        assert (x.near_edited, x.near_next) == pytest.approx((parsing.likeness(own[i], other), parsing.likeness(own[i], own[n])))
+
+
+def test_op8_ratios_are_those_of_the_models(spark, data, monkeypatch):
+    """Kneser-Ney's numbers recomputed in plain Python: different words before each word in either class, and what they make of
+    whole texts. The shared level is taken as estimated; its error is tested elsewhere."""
+    held = {}
+    plain = toxicity.word_counts
+
+    def spy(docs):
+        held["given"] = docs.filter("y is not null").select("t", "y").collect()
+        held["shared"] = {r.w: r for r in plain(docs).collect()}
+        return plain(docs)
+
+    monkeypatch.setattr(toxicity, "word_counts", spy)
+    got = {x.doc_id: x for x in QUERIES["op8_toxicity"](spark, data).collect()}
+    before = [defaultdict(set), defaultdict(set)]
+    for k, r in enumerate(held["given"]):
+        last = f"start {k}"
+        for w in toxicity.split(r.t):
+            before[int(r.y)][w].add(last)
+            last = w
+    n = [{w: len(s) for w, s in b.items()} for b in before]
+    total, taken = ([sum(f(c) for c in x.values()) for x in n] for f in (lambda c: c, lambda c: min(c, toxicity.DISCOUNT)))
+    shared = {w: r.follows for w, r in held["shared"].items()}
+    every = sum(shared.values())
+    assert {w: (r.c0, r.c1) for w, r in held["shared"].items() if r.c0 or r.c1} == {toxicity.word_hash(w): (n[0].get(w, 0), n[1].get(w, 0)) for w in {*n[0], *n[1]}}
+
+    def p(k, w):
+        return max(n[k].get(w, 0) - toxicity.DISCOUNT, 0) / total[k] + taken[k] / total[k] * shared[toxicity.word_hash(w)] / every
+
+    for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect():
+        words = toxicity.split(r.text)
+        ratio = [math.log(p(1, w) / p(0, w)) for w in words]
+        x = got[r.doc_id]
+        assert x.doc_ratio == pytest.approx(sum(ratio) / len(ratio) if ratio else 0.0, abs=1e-9)
+        if len(ratio) >= 16:
+            assert x.window_ratio == pytest.approx(max(sum(ratio[k : k + 16]) for k in range(len(ratio) - 15)) / 16, abs=1e-9)
+        assert x.top_ratio == pytest.approx(sum(sorted(ratio)[-3:]) / 3 if ratio else 0.0, abs=1e-9)
+        assert x.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and x.predicted == int(x.score >= 0.5) and 0 <= x.score <= 1
+
+
+def test_more_languages_than_a_task_may_hold(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        langid.identify(docs, F.lit(True))
