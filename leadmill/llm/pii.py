@@ -41,6 +41,7 @@ KINDS = (
 )
 BASE = tuple(k.name for k in KINDS[:4])
 NEAR = 48
+PART, PAGE = 256, 4096
 HELP, HURT = 0.3, 0.2
 
 
@@ -104,17 +105,36 @@ def matches(text: Column, kind: Kind) -> Column:
         spans = F.when(confirmed(kind.name, x["m"]), F.concat(state["spans"], span)).otherwise(state["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
-    pairs = F.zip_with(found, between, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap")))
-    walked = F.aggregate(F.filter(pairs, lambda p: p["m"].isNotNull()), F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda s: s["spans"])
-    return F.when(text.rlike(kind.hint), walked).otherwise(none)
+    def moved(state: Column, x: Column) -> Column:
+        spans = F.transform(x["spans"], lambda s: F.struct((s["start"] + state["at"]).alias("start"), (s["end"] + state["at"]).alias("end")))
+        return F.struct((state["at"] + x["at"]).alias("at"), F.concat(state["spans"], spans).alias("spans"))
 
+    def walked(p: Column) -> Column:
+        """Runs of PART matches by themselves, then moved to their places: no list is copied for every match."""
+        start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / PART).cast("int")), lambda k: F.aggregate(F.slice(p, k * PART + 1, F.lit(PART)), start, step))
+        return F.when(F.size(p) > 0, F.aggregate(parts, start, moved, lambda s: s["spans"])).otherwise(none)
 
-def scored(text: Column, spans: Column, kind: Kind) -> Column:
+    pairs = F.filter(F.zip_with(found, between, lambda m, gap: F.struct(m.alias("m"), gap.alias("gap"))), lambda p: p["m"].isNotNull())
+    return F.when(text.rlike(kind.hint), F.transform(F.array(pairs), walked)[0]).otherwise(none)
+
+
+def pages(text: Column) -> Column:
+    """The text in pieces of PAGE code points, so that what stands at a place is found without a walk from the start."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / PAGE).cast("int")), lambda k: F.substring(text, k * PAGE + 1, F.lit(PAGE)))
+
+
+def scored(paged: Column, spans: Column, kind: Kind) -> Column:
     """The spans with their scores, those under the kind's least score left out."""
 
+    def part(at: Column, length: Column) -> Column:
+        page = F.floor(at / PAGE).cast("int")
+        both = F.concat(F.get(paged, page), F.coalesce(F.get(paged, page + 1), F.lit("")))
+        return F.substring(both, at - page * PAGE + 1, length)
+
     def rate(s: Column) -> Column:
         first = F.greatest(s["start"] - NEAR, F.lit(0))
-        near = F.lower(F.concat_ws(" ", F.substring(text, first + 1, s["start"] - first), F.substring(text, s["end"] + 1, F.lit(NEAR // 2))))
+        near = F.lower(F.concat_ws(" ", part(first, s["start"] - first), part(s["end"], F.lit(NEAR // 2))))
         up = F.when(near.rlike(kind.helps), HELP).otherwise(0.0)
         down = F.when(near.rlike(kind.hurts), HURT).otherwise(0.0)
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), F.round(F.least(F.lit(kind.score) + up - down, F.lit(1.0)), 2).alias("score"))
@@ -137,8 +157,8 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     searched whole.
     """
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.select("*", *(matches(F.col("text"), k).alias(f"raw_{k.name}") for k in KINDS))
-    rows = rows.select(id_col, *(scored(F.col("text"), F.col(f"raw_{k.name}"), k).alias(k.name) for k in KINDS))
+    rows = rows.select("*", pages(F.col("text")).alias("pages"), *(matches(F.col("text"), k).alias(f"raw_{k.name}") for k in KINDS))
+    rows = rows.select(id_col, *(scored(F.col("pages"), F.col(f"raw_{k.name}"), k).alias(k.name) for k in KINDS))
     rows = rows.select("*", F.concat(*(listed(k) for k in KINDS[:4])).alias("base"), F.concat(*(listed(k) for k in KINDS)).alias("all"))
     counts = [F.size(k.name).cast("long").alias(f"n_{k.name}") for k in KINDS]
     scores = F.concat(*(F.transform(F.col(k.name), lambda s: s["score"]) for k in KINDS))

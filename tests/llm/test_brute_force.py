@@ -13,7 +13,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from leadmill.llm import bpe_codec, components, langid, linedup, minhash, packing, parsing, secrets, topk, toxicity
+from leadmill.llm import bpe_codec, components, langid, linedup, minhash, packing, parsing, pii, secrets, topk, toxicity
 from leadmill.llm.bpe_words import ByteBpe, library, packed
 from leadmill.llm.queries import QUERIES, byte_tokenizer
 from .conftest import prose
@@ -357,3 +357,16 @@ def test_lines_of_a_repeated_id(spark):
     rows = [(1, a), (5, a), (5, b), (5, b)]
     got = sorted((r.doc_id, r.text) for r in linedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == sorted([(1, a), (5, ""), (5, b), (5, b)])
+
+
+def test_personal_data_of_a_text_with_many_spans(spark):
+    """8,000 addresses among others, over several pages of the text: places, scores and time."""
+    text = " é ".join(f"mail me{k}@host{k % 7}.org or +49 30 {1000000 + k} at 10.0.{k % 300}.1" for k in range(8000))
+    start = time.time()
+    got = pii.find_pii(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).collect()[0]
+    assert time.time() - start < 60
+    want = [f"email:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    ips = [m for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    spans = got.spans.split(",")
+    assert spans[: len(want)] == want and spans[len(want) : len(want) + len(ips)] == [f"ip:{m.start()}:{m.end()}" for m in ips]
+    assert got.n_email == 8000 and got.n_ip == len(ips) and set(got.scores.split(",")[:8000]) == {"1.0"}
