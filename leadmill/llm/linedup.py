@@ -142,7 +142,11 @@ def removals(docs: DataFrame, min_chars: int) -> DataFrame:
     gone = chance.join(late, "id", "left_semi").select("m", F.lit(True).alias("late"))
     marked = repeated.join(gone, "m", "full").select("m", "first", F.coalesce("late", F.lit(False)).alias("late"))
     marked = spool(marked, "marked")
-    lost = lines.withColumn("m", identity("line")).join(small(marked, 72), "m").filter(F.col("late") | (F.struct("i", "x", "at") != F.col("first")))
+    found = lines.select("i", "x", "at", identity("line").alias("m"))
+    keys, most = marked.select(F.xxhash64("m").alias("h")), BROADCAST_BYTES // 40
+    if keys.limit(most + 1).count() <= most:  # few enough to leave the other lines where they are
+        found = found.withColumn("h", F.xxhash64("m")).join(F.broadcast(keys), "h", "left_semi")
+    lost = found.join(marked, "m").filter(F.col("late") | (F.struct("i", "x", "at") != F.col("first")))
     return spool(lost.select("i", "x", "at").distinct().groupBy("i", "x").agg(F.array_sort(F.collect_list("at")).alias("gone")), "gone")
 
 

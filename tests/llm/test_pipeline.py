@@ -119,3 +119,11 @@ def test_different_texts_of_one_id_are_different_documents(spark, data):
     a, b = prose(r, 60), prose(r, 60)
     docs = spark.createDataFrame([(1, a), (5, a), (5, b), (5, b)], "doc_id long, text string")
     assert sorted((x.doc_id, x.text) for x in STAGES["near_duplicates"](spark, docs, data).collect()) == sorted([(1, a), (5, b), (5, b)])
+
+
+def test_run_is_the_stages_in_turn(spark, data):
+    docs = table(spark, data, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spool(stage(spark, docs, data), name)
+    want = {(r.doc_id, r.start, r.length, r.ids_crc32) for r in STAGES["packing"](spark, docs, data).collect()}
+    assert {(r.doc_id, r.start, r.length, r.ids_crc32) for r in corpus_pipeline.run(spark, data).collect()} == want
