@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.llm import linedup, minhash, packing, secrets, toxicity
-from leadmill.llm.common import fold, spool, table
+from leadmill.llm.common import fold, table
 from leadmill.llm.queries import byte_tokenizer
+from leadmill.store import drop, scratch, written
 
 
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -96,7 +97,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another, each written before the next; what a stage kept aside, and its input, go once it is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = spool(stage(spark, docs, sf_dir), name)
+        with scratch(spark):
+            docs, folder = written(stage(spark, docs, sf_dir), name)
+        if before:
+            drop(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)

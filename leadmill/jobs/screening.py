@@ -19,7 +19,7 @@ from ..functions.fingerprint import sign_bits
 from ..operators import acquire, cluster, filters, merge, similarity, surrogate
 from ..schema import CLUSTERS, COMPOUNDS, MODELS, PROPERTIES, PropertyLimits, Settings
 from ..sources import writers
-from ..store import Campaign, spool
+from ..store import Campaign, scratch, spool
 
 Search = Callable[[DataFrame], DataFrame]
 Prepare = Callable[[DataFrame], DataFrame]
@@ -185,6 +185,8 @@ def screening_round(campaign: Campaign, search: Search, prepare: Prepare, score:
     elif model is None:
         model = load_model(campaign)
     for predicted in (False, True, True):
-        search_cycle(campaign, search, prepare, model, predicted, settings)
-    dock(campaign, score, settings)
+        with scratch(campaign.spark):
+            search_cycle(campaign, search, prepare, model, predicted, settings)
+    with scratch(campaign.spark):
+        dock(campaign, score, settings)
     return model

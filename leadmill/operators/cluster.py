@@ -10,22 +10,24 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..store import shared_dir, spool
+from ..store import file_system, shared_dir, spool
 from .similarity import assign_to_nearest
 
-BATCH = 2048
+BATCH = 8192
+ROWS = 1024  # compared with the leaders at once
 
 
-def _close(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether rows of bits a and b are similar to percent / 100, as a matrix."""
-    i = a.astype(np.int32) @ b.astype(np.int32).T
-    n = a.sum(axis=1, dtype=np.int64)[:, None] + b.sum(axis=1, dtype=np.int64)[None] - i
+def _close(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of bits a and b, with na and nb of them, are similar to percent / 100, as a matrix. Counts are exact as
+    single floats."""
+    i = a @ b.T
+    n = na[:, None] + nb[None] - i
     return (100 * i >= percent * n) & (n > 0)
 
 
 def _bits(words: pd.Series) -> np.ndarray:
     x = np.stack(words.to_numpy()).astype(np.uint64)
-    return ((x[:, :, None] >> np.arange(32, dtype=np.uint64)) & np.uint64(1)).reshape(len(x), -1).astype(np.int8)
+    return ((x[:, :, None] >> np.arange(32, dtype=np.uint64)) & np.uint64(1)).reshape(len(x), -1).astype(np.float32)
 
 
 def leaders(rows: DataFrame, percent: int) -> DataFrame:
@@ -38,24 +40,27 @@ def leaders(rows: DataFrame, percent: int) -> DataFrame:
     """
     spark, open_ = rows.sparkSession, rows
     folder = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}/leaders"
+    fs, where = file_system(spark, folder)
+    fs.deleteOnExit(where.getParent())
     rows.select("id").limit(0).write.parquet(folder)
     while True:
         batch = open_.orderBy("id").limit(BATCH).toPandas()
         if batch.empty:
             break
-        bits, chosen = _bits(batch["fp"]), []
+        bits, n, chosen = _bits(batch["fp"]), batch["n"].to_numpy(np.float32), []
         covered = np.zeros(len(batch), bool)
         for k in range(len(batch)):
             if not covered[k]:
                 chosen.append(k)
-                covered |= _close(bits[k : k + 1], bits, percent)[0]
-        new, last = bits[chosen], int(batch["id"].iloc[-1])
+                covered |= _close(bits[k : k + 1], n[k : k + 1], bits, n, percent)[0]
+        new, n_new, last = bits[chosen], n[chosen], int(batch["id"].iloc[-1])
         spark.createDataFrame(batch.iloc[chosen][["id"]], "id long").coalesce(1).write.mode("append").parquet(folder)
 
-        def uncovered(parts: Iterator[pd.DataFrame], new=new) -> Iterator[pd.DataFrame]:
+        def uncovered(parts: Iterator[pd.DataFrame], new=new, n_new=n_new) -> Iterator[pd.DataFrame]:
             for part in parts:
-                if len(part):
-                    yield part[~_close(_bits(part["fp"]), new, percent).any(axis=1)]
+                for at in range(0, len(part), ROWS):
+                    some = part.iloc[at : at + ROWS]
+                    yield some[~_close(_bits(some["fp"]), some["n"].to_numpy(np.float32), new, n_new, percent).any(axis=1)]
 
         if len(batch) < BATCH:
             break

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,15 +26,42 @@ def file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
-def spool(df: DataFrame, tag: str) -> DataFrame:
-    """Writes `df` once to the shared folder and reads it back: cuts lineage, survives lost
-    executors, and gives the next plan true sizes. The files go when the JVM ends."""
+_SCRATCH: list[list[str]] = []
+
+
+def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """`df` written once to the shared folder and read back, and the folder, which goes when the JVM ends at the latest."""
     spark = df.sparkSession
     folder = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}"
     df.write.parquet(f"{folder}/{tag}")
     fs, where = file_system(spark, folder)
     fs.deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(f"{folder}/{tag}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{tag}"), folder
+
+
+def drop(spark: SparkSession, folder: str) -> None:
+    fs, where = file_system(spark, folder)
+    fs.delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is spooled inside goes at the end: for steps whose result has been written by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for folder in _SCRATCH.pop():
+            drop(spark, folder)
+
+
+def spool(df: DataFrame, tag: str) -> DataFrame:
+    """Writes `df` once to the shared folder and reads it back: cuts lineage, survives lost
+    executors, and gives the next plan true sizes. The files go with the `scratch` around it, or when the JVM ends."""
+    done, folder = written(df, tag)
+    if _SCRATCH:
+        _SCRATCH[-1].append(folder)
+    return done
 
 
 def _moved(spark: SparkSession, path: str, to: str) -> None:

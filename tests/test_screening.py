@@ -1,6 +1,8 @@
 """Two rounds with toy providers, readers on small files, and the stream of results."""
 
+import bz2
 import io
+import os
 import tarfile
 
 import pytest
@@ -10,7 +12,7 @@ from leadmill.jobs import registry, screening
 from leadmill.operators import surrogate
 from leadmill.schema import PropertyLimits, Range, Settings
 from leadmill.sources import readers, writers
-from leadmill.store import Campaign, shared_dir
+from leadmill.store import Campaign, scratch, shared_dir, spool
 from leadmill.streaming import results
 
 
@@ -70,6 +72,10 @@ def test_readers_and_writers(spark, tmp_path):
     assert readers.undocked_seeds(spark, f"file://{tmp_path}/s.smi").filter("score is null").count() == 2
     (tmp_path / "c.tsv").write_text("smiles\tidnumber\tType\nCC\t7\tx\n")
     assert tuple(readers.collection(spark, f"file://{tmp_path}/c.tsv", "smiles", "idnumber").first()) == ("CC", "7")
+    (tmp_path / "c.tsv.bz2").write_bytes(bz2.compress(b"SMILES\tID\tMW\nCC\t7\t1\nCO\t8\t2\n"))
+    assert sorted(map(tuple, readers.collection(spark, f"file://{tmp_path}/c.tsv.bz2", "SMILES", "ID").collect())) == [("CC", "7"), ("CO", "8")]
+    (tmp_path / "grid.zip").write_bytes(b"\x00grid")
+    assert tuple(readers.blob(spark, f"file://{tmp_path}/grid.zip").first()) == ("grid.zip", b"\x00grid")
     (tmp_path / "h.csv").write_text("#result-smiles,result-name,fingerprint-similarity\nCC,n,0.7\n")
     assert tuple(readers.hits(spark, f"file://{tmp_path}/h.csv", "fp").first()) == ("fp", "CC", "n", 0.7)
     folder = tmp_path / "results"
@@ -253,3 +259,11 @@ def test_campaign_of_smiles(spark, tmp_path):
     model = screening.train_model(campaign, settings)
     found = screening.search_cycle(campaign, longer, screening.prepare_smiles, model, False, settings).filter("simsearch_cycle = 1").collect()
     assert {r.smiles for r in found} == {"CCCC" + "C" * n + tail for n, tail in ((5, "O"), (5, "N"))} | {"CCCCOCC"}  # 6 to 8 carbons are known, more are too heavy
+
+
+def test_scratch_goes_at_its_end(spark):
+    with scratch(spark):
+        inner = spool(spark.range(3), "x")
+        assert inner.count() == 3
+        files = inner.inputFiles()
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
