@@ -309,7 +309,7 @@ def chunk_assignment(spark, sf_dir):
     return surrogate.chunks(Tables(spark, sf_dir).part, "p_partkey", 1000)
 
 
-@query()
+@query("select p_partkey, p_name from part order by md5('7|' || cast(p_partkey as varchar)), p_partkey limit 100")
 def sample_exact_n(spark, sf_dir):
     """100 rows by hash: the sampling operator's own limit."""
     return surrogate.exact_sample(Tables(spark, sf_dir).part.select("p_partkey", "p_name"), 100, 7, "p_partkey")
@@ -337,9 +337,11 @@ def _training_rows(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", "embedding", F.col("label").cast("double").alias("score"))
 
 
-@query()
+@query("""with t as (select vec_id, label, row_number() over (order by vec_id) rn, count(*) over () n from embeddings),
+s as (select vec_id, label, case when rn > n - greatest(1, cast(floor(n * 0.1) as bigint)) then 'val' else 'train' end split from t),
+m as (select avg(label) a, stddev_pop(label) d from s where split = 'train') select vec_id, split, round((label - a) / case when d = 0 then 1 else d end, 6) scaled from s cross join m""")
 def target_scaling(spark, sf_dir):
-    """The scaled target of all rows; sums of doubles depend on their order, so without SQL."""
+    """The scaled target of all rows."""
     rows = _training_rows(Tables(spark, sf_dir))
     split = rows.join(surrogate.tail_split(rows, "vec_id"), "vec_id")
     mean, deviation = surrogate.scaling(split.filter("split = 'train'"), "score")

@@ -58,8 +58,9 @@ def chunks(rows: DataFrame, order: str, size: int) -> DataFrame:
 
 def exact_sample(rows: DataFrame, n: int, seed: int, id_col: str) -> DataFrame:
     """Exactly n rows (all, if fewer), those whose ids hash lowest under the seed: the same rows
-    however they are partitioned."""
-    return rows.withColumn("_place", F.xxhash64(F.lit(seed), F.col(id_col))).orderBy("_place", id_col).limit(n).drop("_place")
+    however they are partitioned. A null id counts as an empty one."""
+    place = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+    return rows.withColumn("_place", place).orderBy("_place", id_col).limit(n).drop("_place")
 
 
 def shuffled(rows: DataFrame, parts: int, seed: int, id_col: str) -> DataFrame:

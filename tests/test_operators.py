@@ -130,3 +130,10 @@ def test_leaders_equal_the_sequential_algorithm(spark, monkeypatch, batch):
 
 def test_state_schema():
     assert [f.name for f in COMPOUNDS][:2] == ["compound_id", "reghash"] and not COMPOUNDS["compound_id"].nullable
+
+
+def test_shuffled_rows_are_dealt_evenly(spark):
+    rows = surrogate.shuffled(spark.range(4000), 8, 3, "id").withColumn("part", F.spark_partition_id())
+    sizes = [r["count"] for r in rows.groupBy("part").count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 4000 and min(sizes) > 350
+    assert rows.select("id").distinct().count() == 4000
