@@ -78,20 +78,20 @@ def minima(s: np.ndarray) -> np.ndarray:
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
     """i, x, n, same (hash of the set), bands, signature of each row of (i, x, t). Where a task meets a set
-    again, bands and signature are left out."""
+    again, and where there is no id, bands and signature are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, seen = memo(), set()
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part, rows = batch.iloc[at : at + 2000], []
-                for text in part["t"]:
+                for named, text in zip(part["i"].notna(), part["t"]):
                     s = shingles(text, size, hashes)
                     if not len(s):
                         rows.append((0, None, None, None))
                         continue
                     same = blake2b(s.tobytes(), digest_size=16).digest()
-                    if same in seen:
+                    if same in seen or not named:
                         rows.append((len(s), same, None, None))
                         continue
                     if len(seen) >= SEEN:

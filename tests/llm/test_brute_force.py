@@ -370,3 +370,11 @@ def test_personal_data_of_a_text_with_many_spans(spark):
     spans = got.spans.split(",")
     assert spans[: len(want)] == want and spans[len(want) : len(want) + len(ips)] == [f"ip:{m.start()}:{m.end()}" for m in ips]
     assert got.n_email == 8000 and got.n_ip == len(ips) and set(got.scores.split(",")[:8000]) == {"1.0"}
+
+
+def test_rows_without_id_hide_no_link(spark):
+    base = prose(random.Random(3), 100)
+    rows = [(None, base), (7, base), (8, base + " extra"), (None, base + " extra"), (3, base + " more"), (4, prose(random.Random(4), 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(None, None, True), (None, None, True), (7, 3, False), (8, 3, False), (3, 3, True), (4, 4, True)], key=str)
