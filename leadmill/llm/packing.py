@@ -179,7 +179,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, ranks_path: str | No
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = byte_bpe(tokenizer_path, ranks_path, pattern)
-        bpe.forget()
         end = END_ID.to_bytes(4, "little")
 
         def pieces():
@@ -191,7 +190,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, ranks_path: str | No
                     yield Piece(key, 0, n, n, n, ids)
 
         yield from numbered(pack(pieces(), limits, cut=True), with_ids=True)
-        bpe.forget()
 
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
     return map_texts(source, run, f"{ROW}, ids_crc32 long").withColumnRenamed("id", id_col)
