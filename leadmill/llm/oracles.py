@@ -75,4 +75,21 @@ s as (select doc_id, t, {", ".join(_spans(*k[:4]) for k in _KINDS)} from m),
 r as (select doc_id, {", ".join(_rated(*k) for k in _KINDS)} from s)
 select doc_id, {", ".join(f"cast(len({k}) as bigint) n_{k}" for k in _ALL)}, sha256({_joined(_ALL[:4], "z.v")}) base_sha256, {_joined(_ALL, "z.v")} spans, {_joined(_ALL, "cast(z.c as varchar)")} scores from r"""
 
-ORACLES: dict[str, str] = {"op4_topk": TOPK, "op6_near_duplicates": NEAR, "op7_line_dedup": LINES, "op9_pii": PII}
+# Unsigned crc32 of a list of bytes, as a macro of the table for one byte.
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end))"
+_CRC = "xor(list_reduce([4294967295::bigint] || {bytes}, lambda c, b: xor(c // 256, tab[cast(xor(c % 256, b) as int) + 1])), 4294967295)"
+
+TRIE = f"""with tables as materialized (select {_CRC_TABLE} tab),
+turns as (select conv_id c, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} order by turn nulls first) t from conversations where conv_id is not null group by conv_id),
+h as (select c, t, c - c % 100 b, {_CRC.format(bytes="list_transform(string_split(cast(c as varchar), ''), lambda x: cast(ascii(x) as bigint))")} % 6 h from turns cross join tables),
+s as (select h.c, coalesce(b.t, [])[1:h.h] || h.t[h.h + 1:] s from h left join turns b on b.c = h.b),
+p as (select c, d, md5(cast(s[1:d] as varchar)) id, case when d > 0 then md5(cast(s[1:d - 1] as varchar)) end up, case when d > 0 then length(s[d].x) else 0 end n, d = len(s) fin from (select *, unnest(range(0, len(s) + 1)) d from s)),
+nodes as (select id, any_value(up) up, any_value(d) depth, min(c) conv_id, count(*) n_convs, any_value(n) n,
+  sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (fin), '')) ends_sha256 from p group by id),
+kids as (select up id, count(*) k from nodes where up is not null group by up),
+f as (select n.*, coalesce(k.k, 0) n_children from nodes n left join kids k on k.id = n.id),
+above as (select a.id above, b.id from (select distinct id, c from p qualify row_number() over (partition by id order by c) = 1) b join p a on a.c = b.c join nodes m on m.id = a.id join nodes o on o.id = b.id where m.depth <= o.depth),
+sums as (select above id, count(case when f.n_children = 0 then 1 end) n_leaves, cast(sum((f.n_convs - 1) * f.n) as bigint) saved_tokens from above join f on f.id = above.id group by above)
+select f.conv_id, f.depth, u.conv_id parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256 from f join sums s on s.id = f.id left join nodes u on u.id = f.up"""
+
+ORACLES: dict[str, str] = {"op11_prefix_trie": TRIE, "op4_topk": TOPK, "op6_near_duplicates": NEAR, "op7_line_dedup": LINES, "op9_pii": PII}
