@@ -92,4 +92,18 @@ above as (select a.id above, b.id from (select distinct id, c from p qualify row
 sums as (select above id, count(case when f.n_children = 0 then 1 end) n_leaves, cast(sum((f.n_convs - 1) * f.n) as bigint) saved_tokens from above join f on f.id = above.id group by above)
 select f.conv_id, f.depth, u.conv_id parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256 from f join sums s on s.id = f.id left join nodes u on u.id = f.up"""
 
-ORACLES: dict[str, str] = {"op11_prefix_trie": TRIE, "op4_topk": TOPK, "op6_near_duplicates": NEAR, "op7_line_dedup": LINES, "op9_pii": PII}
+_UTF8 = "flatten(list_transform(string_split(r, ''), lambda x: case when unicode(x) < 128 then [cast(unicode(x) as bigint)] else [192 + unicode(x) // 64, 128 + unicode(x) % 64] end))"
+
+SPELLING = f"""with recursive tables as materialized (select {_CRC_TABLE} tab),
+runs as (select coalesce(cast(doc_id as varchar), '') d, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') r from documents),
+k as (select r, {_CRC.format(bytes=f"list_transform(string_split(d || ':', ''), lambda x: cast(ascii(x) as bigint)) || {_UTF8}")} h from runs cross join tables where length(r) >= 7),
+e as (select case when h % 31 = 0 then left(r, cast(h % length(r) as int)) || substring(r, cast(h % length(r) as int) + 2) else r end word from k),
+v as materialized (select word, count(*) n from e where length(word) >= 7 group by word having count(*) >= 2),
+d as materialized (select word, i, left(word, i) || substring(word, i + 2) rest from (select word, unnest(range(0, length(word))) i from v)),
+pairs as materialized (select distinct d.word a, v.word b from d join v on v.word = d.rest union select distinct v.word, d.word from d join v on v.word = d.rest union select x.word, y.word from d x join d y on x.rest = y.rest and x.i = y.i and x.word <> y.word),
+best as (select p.a, count(*) n_near, min({{'m': -w.n, 'o': p.b}}) b from pairs p join v w on w.word = p.b group by p.a),
+f as materialized (select v.word, v.n, coalesce(b.n_near, 0) n_near, case when -b.b.m >= 10 * v.n then b.b.o end form, case when -b.b.m >= 10 * v.n then -b.b.m end form_n from v left join best b on b.a = v.word),
+walk as (select word, word spot from f union all select w.word, f.form from walk w join f on f.word = w.spot where f.form is not null)
+select f.word, f.form, w.spot root, f.n, f.n_near, f.form_n from f join walk w on w.word = f.word join f t on t.word = w.spot and t.form is null"""
+
+ORACLES: dict[str, str] = {"op13_spelling": SPELLING, "op11_prefix_trie": TRIE, "op4_topk": TOPK, "op6_near_duplicates": NEAR, "op7_line_dedup": LINES, "op9_pii": PII}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, langid, linedup, minhash, packing, parsing, pii, prefix_trie, secrets, token_counts, topk, toxicity
+from . import bpe_codec, langid, linedup, minhash, packing, parsing, pii, prefix_trie, secrets, spelling, token_counts, topk, toxicity
 from .common import documents, fold, table
 from .oracles import ORACLES  # noqa: F401
 
@@ -73,4 +73,8 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_fingerprints, op6_near_duplicates, op7_line_dedup, op8_toxicity, op9_pii, op10_bpe_codec, op11_prefix_trie, op12_token_counts)}
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir), typos=31)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_secrets, op3_language, op4_topk, op5_fingerprints, op6_near_duplicates, op7_line_dedup, op8_toxicity, op9_pii, op10_bpe_codec, op11_prefix_trie, op12_token_counts, op13_spelling)}
