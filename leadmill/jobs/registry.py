@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import molecules
 from ..functions.fingerprint import sign_bits
-from ..operators import acquire, cluster, filters, merge, similarity, surrogate
+from ..operators import acquire, cluster, filters, merge, select, similarity, surrogate
 from ..schema import Settings
 from ..store import Campaign, file_system, shared_dir
 from . import screening
@@ -117,6 +117,14 @@ def _cluster_sql(score: str, where: str) -> str:
     return CLUSTER_SQL % (score, score, where, score, score)
 
 
+@query("""with r as (select l_orderkey, l_linenumber, l_quantity, row_number() over (order by l_quantity, l_orderkey, l_linenumber) rn, count(*) over () n from lineitem)
+select l_orderkey, l_linenumber, l_quantity from r where rn <= n // 3""")
+def pick_third_of_rows(spark, sf_dir):
+    """A third of all result rows, the lowest first, cut amid many ties."""
+    rows = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    return select.smallest(rows, "l_quantity", ["l_orderkey", "l_linenumber"], rows.count() // 3)
+
+
 @query(_cluster_sql("pred_score", "s.pred_score is not null and s.dock_score is null"))
 def cluster_dock_pick(spark, sf_dir):
     t = Tables(spark, sf_dir)

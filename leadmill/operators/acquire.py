@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .select import ONE_TASK, smallest
+
 DOCKED = "dock_score is not null"
 CANDIDATE = "pred_score is not null and dock_score is null"
 UNUSED = "query_cycle is null"
@@ -17,10 +19,17 @@ def undocked(state: DataFrame) -> DataFrame:
     return state.filter("dock_score is null").select("compound_id", "smilesid")
 
 
+def best(rows: DataFrame, score: str, k: int | None) -> DataFrame:
+    """The k rows of the lowest score (all if k is None or negative): in order by one top-k while they are few, else picked in place, in no
+    order."""
+    if k is None or k < 0:
+        return rows.orderBy(score, "compound_id")
+    return rows.orderBy(score, "compound_id").limit(k) if k <= ONE_TASK else smallest(rows, score, ["compound_id"], k)
+
+
 def greedy(state: DataFrame, where: str | Column, score: str, k: int | None) -> DataFrame:
-    """The k best by `score` (all if k is None or negative): one top-k, no full sort."""
-    ranked = state.filter(where).select("compound_id", score).orderBy(score, "compound_id")
-    return ranked if k is None or k < 0 else ranked.limit(k)
+    """The k best by `score`."""
+    return best(state.filter(where).select("compound_id", score), score, k)
 
 
 def best_of_clusters(state: DataFrame, clusters: DataFrame, where: str | Column, score: str, k: int) -> DataFrame:
@@ -28,7 +37,7 @@ def best_of_clusters(state: DataFrame, clusters: DataFrame, where: str | Column,
     part. Rows are cut to the first of each cluster before they are shuffled."""
     rank = F.row_number().over(Window.partitionBy("cluster_id").orderBy(score, "compound_id"))
     first = state.filter(where).join(clusters, "compound_id").withColumn("rank", rank).filter("rank = 1")
-    return first.select("compound_id", "cluster_id", score).orderBy(score, "compound_id").limit(k)
+    return best(first.select("compound_id", "cluster_id", score), score, k)
 
 
 def pick_to_dock(state: DataFrame, k: int, clusters: DataFrame | None = None) -> DataFrame:

@@ -39,7 +39,7 @@ def not_known(hits: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 
 def with_dense_ids(new: DataFrame, order: str, start: int, id_col: str = "new_id") -> DataFrame:
-    """Ids start + 1, start + 2, ... in the order of a unique, non-null column, without a global
+    """Ids start + 1, start + 2, ... in the order of a unique, non-null column (a struct for several), without a global
     window: rows are range-partitioned and written, partitions counted, and each numbers its own rows
     from the count of those before it. One number for each partition reaches the driver."""
     parts = int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..store import spool
 from .merge import with_dense_ids
+from .select import ONE_TASK, smallest
 
 
 def training_set(state: DataFrame, cutoff: float) -> DataFrame:
@@ -58,9 +59,12 @@ def chunks(rows: DataFrame, order: str, size: int) -> DataFrame:
 
 def exact_sample(rows: DataFrame, n: int, seed: int, id_col: str) -> DataFrame:
     """Exactly n rows (all, if fewer), those whose ids hash lowest under the seed: the same rows
-    however they are partitioned. A null id counts as an empty one."""
+    however they are partitioned. A null id counts as an empty one. Many rows are picked in place, by the first 52 bits of the hash."""
     place = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
-    return rows.withColumn("_place", place).orderBy("_place", id_col).limit(n).drop("_place")
+    placed = rows.withColumn("_md5", place)
+    if n <= ONE_TASK:
+        return placed.orderBy("_md5", id_col).limit(n).drop("_md5")
+    return smallest(placed.withColumn("_bits", F.conv(F.substring("_md5", 1, 13), 16, 10).cast("double")), "_bits", ["_md5", id_col], n).drop("_md5", "_bits")
 
 
 def shuffled(rows: DataFrame, parts: int, seed: int, id_col: str) -> DataFrame:
