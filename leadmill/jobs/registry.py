@@ -301,9 +301,37 @@ def assign_nearest_centroid(spark, sf_dir):
     return similarity.assign_to_nearest(fp.filter("id % 50 = 0"), fp)
 
 
-@query()
+@query("""with {FP} select a.vec_id q, b.vec_id h, cast({I} as double) / (a.n + b.n - {I}) sim from fp a join fp b on a.vec_id < b.vec_id
+where 5 * {I} >= 3 * (a.n + b.n - {I}) and a.n + b.n > 0""")
+def tanimoto_self_join(spark, sf_dir):
+    """Every row against every row from 0.6 on, by the index of rarest bits."""
+    fp = Tables(spark, sf_dir).fingerprints()
+    return similarity.indexed_pairs(fp, fp, 60).filter("q < h")
+
+
+@query("""with {FP} select a.vec_id q, b.vec_id h, cast({I} as double) / (a.n + b.n - {I}) sim from fp a join fp b on a.vec_id <> b.vec_id
+where a.vec_id % 50 = 0 and 20 * {I} >= 11 * (a.n + b.n - {I}) and a.n + b.n > 0""")
+def stored_similar_pairs(spark, sf_dir):
+    """Queries against a store of fingerprints, of which the folders in reach are read."""
+    fp = Tables(spark, sf_dir).fingerprints()
+    folder = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}"
+    fs, where = file_system(spark, folder)
+    fs.deleteOnExit(where)
+    similarity.write_store(fp, folder, 4)
+    return similarity.stored_pairs(fp.filter("id % 50 = 0"), folder, 4, 55)
+
+
+@query(f"""with recursive {FP_SQL}, e as materialized (select a.vec_id a, b.vec_id b from fp a join fp b on a.vec_id < b.vec_id where 5 * {PAIR_SQL} >= 2 * (a.n + b.n - {PAIR_SQL}) and a.n + b.n > 0),
+o as materialized (select vec_id, row_number() over (order by vec_id) rn, (select count(*) from fp) total from fp),
+pass as (select 0::bigint rn, []::bigint[] led union all
+  select p.rn + 1, case when exists (select 1 from e where e.b = o.vec_id and list_contains(p.led, e.a)) then p.led else list_append(p.led, o.vec_id) end from pass p join o on o.rn = p.rn + 1),
+l as (select unnest(led) id from (select led from pass order by rn desc limit 1)),
+s as (select b.vec_id h, a.vec_id q, cast({PAIR_SQL} as double) / (a.n + b.n - {PAIR_SQL}) sim from l join fp a on a.vec_id = l.id join fp b on a.vec_id <> b.vec_id
+  where 5 * {PAIR_SQL} >= 2 * (a.n + b.n - {PAIR_SQL}) and a.n + b.n > 0 and b.vec_id not in (select id from l)),
+r as (select *, row_number() over (partition by h order by sim desc, q) rn from s)
+select h compound_id, q cluster_id, sim from r where rn = 1 union all select id, id, 1.0 from l""")
 def leader_clusters(spark, sf_dir):
-    """Sequential by nature, so without SQL; tested against the sequential algorithm."""
+    """A pass in id order, in the SQL row by row."""
     return cluster.leader_clusters(Tables(spark, sf_dir).fingerprints(), 40)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import molecules
 from ..functions.fingerprint import sign_bits
 from ..operators import acquire, cluster, filters, merge, similarity, surrogate
-from ..schema import CLUSTERS, COMPOUNDS, MODELS, PROPERTIES, PropertyLimits, Settings
+from ..schema import COMPOUNDS, MODELS, PROPERTIES, STORED_CLUSTERS, PropertyLimits, Settings
 from ..sources import writers
 from ..store import Campaign, scratch, spool
 
@@ -64,10 +64,23 @@ def limits_of(campaign: Campaign, settings: Settings) -> PropertyLimits:
 
 
 def recluster(campaign: Campaign, settings: Settings) -> DataFrame:
-    """Clusters all compounds anew; the table of clusters is replaced."""
-    rows = similarity.fingerprints(campaign.read("compounds"), "compound_id", F.col("fp"))
-    found = cluster.leader_clusters(rows, settings.cluster_similarity_percent)
-    return campaign.write("clusters", found.select(*(F.col(f.name).cast(f.dataType) for f in CLUSTERS)))
+    """The clusters of all compounds, as a new table. Compounds are numbered upwards, so those that the stored clusters lack are added to them; all is
+    clustered anew where the stored ones are of another threshold, or lie amid or above the new ones."""
+    rows, percent, stored = similarity.fingerprints(campaign.read("compounds"), "compound_id", F.col("fp")), settings.cluster_similarity_percent, campaign.read("clusters")
+    if stored is not None and grows(rows, stored, percent):
+        found = cluster.grown_clusters(stored, rows, percent)
+    else:
+        found = cluster.leader_clusters(rows, percent)
+    found = found.withColumn("percent", F.lit(percent))
+    return campaign.write("clusters", found.select(*(F.col(f.name).cast(f.dataType) for f in STORED_CLUSTERS)))
+
+
+def grows(rows: DataFrame, stored: DataFrame, percent: int) -> bool:
+    """Whether the stored clusters are of this threshold and of exactly the rows up to their highest id."""
+    if set(stored.columns) < {f.name for f in STORED_CLUSTERS}:
+        return False
+    n, top, low, high = stored.agg(F.count("*"), F.max("compound_id"), F.min("percent"), F.max("percent")).first()
+    return n > 0 and low == high == percent and rows.filter(F.col("id") <= top).count() == n
 
 
 def acquisition_clusters(campaign: Campaign, settings: Settings) -> DataFrame | None:
@@ -87,9 +100,10 @@ def import_seeds(campaign: Campaign, seeds: DataFrame, prepare: Prepare, docked:
     state = merge.with_dense_ids(rows, "_order", 0, "compound_id").withColumnsRenamed({"k": "smiles", "title": "smilesid", "score": "dock_score"})
     if docked:
         state = state.withColumn("dock_iteration", F.lit(0))
-    state = campaign.write("compounds", shaped(state))
-    recluster(campaign, settings)
-    return state
+    with campaign.step():
+        campaign.write("compounds", shaped(state))
+        recluster(campaign, settings)
+    return campaign.read("compounds")
 
 
 def merged_hits(hits: DataFrame, settings: Settings) -> DataFrame:
@@ -105,7 +119,12 @@ def merged_hits(hits: DataFrame, settings: Settings) -> DataFrame:
 
 def search_cycle(campaign: Campaign, search: Search, prepare: Prepare, model, predicted: bool, settings: Settings) -> DataFrame:
     """One cycle: pick and mark queries, search, merge, keep what lies in the property ranges and is new by hash, predict,
-    insert, cluster all anew."""
+    insert, cluster. Marks, new compounds, counters and clusters are published together."""
+    with campaign.step():
+        return _search_cycle(campaign, search, prepare, model, predicted, settings)
+
+
+def _search_cycle(campaign: Campaign, search: Search, prepare: Prepare, model, predicted: bool, settings: Settings) -> DataFrame:
     state, counters = campaign.read("compounds"), campaign.counters()
     cycle = counters["cycle"] + 1
     picked = acquire.pick_queries(state, settings.queries_per_cycle, predicted, acquisition_clusters(campaign, settings))
@@ -121,8 +140,8 @@ def search_cycle(campaign: Campaign, search: Search, prepare: Prepare, model, pr
     start = state.agg(F.max("compound_id")).first()[0] or 0
     new = merge.with_dense_ids(one, "reghash", start, "compound_id").withColumnsRenamed({"k": "smiles", "title": "smilesid"})
     new = shaped(new.withColumn("simsearch_cycle", F.lit(cycle)))
-    campaign.advance(cycle=cycle)
     state = campaign.write("compounds", state.unionByName(new))
+    campaign.advance(cycle=cycle)
     recluster(campaign, settings)
     return state
 
@@ -138,8 +157,9 @@ def dock(campaign: Campaign, score: Score, settings: Settings, seeds: bool = Fal
     best = spool(merge.best_score_per_title(results, "title", "score"), "scores")
     if best.isEmpty():
         return state
-    campaign.advance(iteration=iteration)
-    return campaign.write("compounds", merge.store_scores(state, best, iteration))
+    with campaign.step():
+        campaign.advance(iteration=iteration)
+        return campaign.write("compounds", merge.store_scores(state, best, iteration))
 
 
 def train_model(campaign: Campaign, settings: Settings):
@@ -150,8 +170,9 @@ def train_model(campaign: Campaign, settings: Settings):
     path = f"{campaign.path}/model_files/{version}"
     model[0].write().overwrite().save(path)
     row, known = campaign.spark.createDataFrame([(version, path, float(model[1]), float(model[2]))], MODELS), campaign.read("models")
-    campaign.write("models", row if known is None else known.unionByName(row))
-    campaign.advance(models=version)
+    with campaign.step():
+        campaign.write("models", row if known is None else known.unionByName(row))
+        campaign.advance(models=version)
     return model
 
 
@@ -178,15 +199,24 @@ def export_results(campaign: Campaign, path: str, settings: Settings = Settings(
 
 
 def screening_round(campaign: Campaign, search: Search, prepare: Prepare, score: Score, settings: Settings = Settings(), model=None):
-    """Train if anything was docked since import (or no model is stored), three search cycles, dock."""
-    counters = campaign.counters()
-    if counters["iteration"] > 0 or (model is None and not counters["models"]):
-        model = train_model(campaign, settings)
-    elif model is None:
-        model = load_model(campaign)
-    for predicted in (False, True, True):
-        with scratch(campaign.spark):
-            search_cycle(campaign, search, prepare, model, predicted, settings)
-    with scratch(campaign.spark):
+    """Train if anything was docked since import (or no model is stored), three search cycles, dock.
+
+    Each of these five steps is published as a whole, with the number of steps done: a round that was broken off goes on with the step that failed,
+    from the state before it, with the stored model."""
+    done, counters = campaign.progress(), campaign.counters()
+    with campaign.step():
+        if done == 0 and (counters["iteration"] > 0 or (model is None and not counters["models"])):
+            model = train_model(campaign, settings)
+        elif model is None:
+            model = load_model(campaign)
+        if done == 0:
+            campaign.set_progress(1)
+    for at, predicted in enumerate((False, True, True), 1):
+        if done <= at:
+            with scratch(campaign.spark), campaign.step():
+                search_cycle(campaign, search, prepare, model, predicted, settings)
+                campaign.set_progress(at + 1)
+    with scratch(campaign.spark), campaign.step():
         dock(campaign, score, settings)
+        campaign.set_progress(0)
     return model

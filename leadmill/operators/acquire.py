@@ -27,6 +27,11 @@ def best(rows: DataFrame, score: str, k: int | None) -> DataFrame:
     return rows.orderBy(score, "compound_id").limit(k) if k <= ONE_TASK else smallest(rows, score, ["compound_id"], k)
 
 
+def best_ids(rows: DataFrame, k: int) -> DataFrame:
+    """The k smallest values of `id`, which has no repeats."""
+    return rows.select("id").orderBy("id").limit(k) if k <= ONE_TASK else smallest(rows.select("id"), "id", ["id"], k)
+
+
 def greedy(state: DataFrame, where: str | Column, score: str, k: int | None) -> DataFrame:
     """The k best by `score`."""
     return best(state.filter(where).select("compound_id", score), score, k)

@@ -1,71 +1,55 @@
-"""Sphere-exclusion clustering: leaders in id order, then each row to its most similar leader."""
+"""Sphere-exclusion clustering: leaders in id order, then each row to its most similar leader.
 
-from __future__ import annotations
+Leaders are picked in Spark. Of the open rows with the smallest ids, a batch is joined with itself; in it a row without an open similar row of smaller
+id leads and closes the rows similar to it, again and again until none is open. Then these leaders close rows beyond the batch. Batches double while
+few of their rows are similar to one another, so rounds grow with the logarithm of sparse collections; no row reaches the driver.
+"""
 
-import uuid
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..store import file_system, shared_dir, spool
-from .similarity import assign_to_nearest
+from ..store import spool
+from .acquire import best_ids
+from .similarity import assign_to_nearest, nearest, similar_pairs
 
 BATCH = 8192
-ROWS = 1024  # compared with the leaders at once
-
+DENSE = 8  # similar pairs for each row of a batch above which batches shrink
 
-def _close(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Whether rows of bits a and b, with na and nb of them, are similar to percent / 100, as a matrix. Counts are exact as
-    single floats."""
-    i = a @ b.T
-    n = na[:, None] + nb[None] - i
-    return (100 * i >= percent * n) & (n > 0)
 
+def independent(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """The greedy independent set by id: of `ids` (id) and `links` (a, b), a < b, those that a pass in id order would take. A row that no
+    open link leads to from below leads; what it links to is covered; in the end all that is not covered has been taken."""
+    while not links.isEmpty():
+        first = links.select("a").join(links.select(F.col("b").alias("a")), "a", "left_anti")
+        covered = spool(links.join(first, "a", "left_semi").select(F.col("b").alias("id")).distinct(), "covered")
+        ids = ids.join(covered, "id", "left_anti")
+        gone = lambda side: covered.select(F.col("id").alias(side))
+        links = spool(links.join(gone("a"), "a", "left_anti").join(gone("b"), "b", "left_anti").select("a", "b"), "links")
+    return ids
 
-def _bits(words: pd.Series) -> np.ndarray:
-    x = np.stack(words.to_numpy()).astype(np.uint64)
-    return ((x[:, :, None] >> np.arange(32, dtype=np.uint64)) & np.uint64(1)).reshape(len(x), -1).astype(np.float32)
 
-
-def leaders(rows: DataFrame, percent: int) -> DataFrame:
+def leaders(rows: DataFrame, percent: int, batch: int = BATCH) -> DataFrame:
     """id, fp, n of the leaders among rows (id, fp, n): in id order, a row that is similar to no
-    leader before it is one.
-
-    The open rows of the smallest ids, at most BATCH, are settled one after another; these new leaders
-    go to all tasks and close what they cover. Each round is written, so only BATCH rows are ever
-    on the driver. A fingerprint without a bit is similar to nothing and leads itself.
-    """
-    spark, open_ = rows.sparkSession, rows
-    folder = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}/leaders"
-    fs, where = file_system(spark, folder)
-    fs.deleteOnExit(where.getParent())
-    rows.select("id").limit(0).write.parquet(folder)
-    while True:
-        batch = open_.orderBy("id").limit(BATCH).toPandas()
-        if batch.empty:
-            break
-        bits, n, chosen = _bits(batch["fp"]), batch["n"].to_numpy(np.float32), []
-        covered = np.zeros(len(batch), bool)
-        for k in range(len(batch)):
-            if not covered[k]:
-                chosen.append(k)
-                covered |= _close(bits[k : k + 1], n[k : k + 1], bits, n, percent)[0]
-        new, n_new, last = bits[chosen], n[chosen], int(batch["id"].iloc[-1])
-        spark.createDataFrame(batch.iloc[chosen][["id"]], "id long").coalesce(1).write.mode("append").parquet(folder)
-
-        def uncovered(parts: Iterator[pd.DataFrame], new=new, n_new=n_new) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                for at in range(0, len(part), ROWS):
-                    some = part.iloc[at : at + ROWS]
-                    yield some[~_close(_bits(some["fp"]), some["n"].to_numpy(np.float32), new, n_new, percent).any(axis=1)]
-
-        if len(batch) < BATCH:
-            break
-        open_ = spool(open_.filter(F.col("id") > last).mapInPandas(uncovered, open_.schema), "open")
-    return rows.join(spark.read.schema("id long").parquet(folder), "id", "left_semi")
+    leader before it is one. Of equal fingerprints only the smallest id can lead, so copies meet no pairs. A fingerprint without a bit is similar
+    to nothing and leads itself."""
+    empty = rows.filter("n = 0").select("id", "fp", "n")
+    open_ = spool(rows.filter("n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.first("n").alias("n")).select("id", "fp", "n"), "open")
+    found = []
+    while not open_.isEmpty():
+        ids = spool(best_ids(open_, batch), "ids")
+        some = open_.join(ids, "id", "left_semi")
+        links = spool(similar_pairs(some, some, percent).filter("q < h").select(F.col("q").alias("a"), F.col("h").alias("b")), "pairs")
+        new = spool(some.join(independent(ids, links), "id", "left_semi"), "new")
+        found.append(new)
+        rest = open_.join(ids, "id", "left_anti")
+        near = similar_pairs(new, rest, percent).select(F.col("h").alias("id"))
+        open_ = spool(rest.join(near, "id", "left_anti"), "open")
+        batch = max(BATCH, batch // 2) if links.count() > DENSE * batch else 2 * batch
+    for new in found:
+        empty = empty.unionByName(new)
+    return empty
 
 
 def leader_clusters(rows: DataFrame, percent: int) -> DataFrame:
@@ -73,3 +57,24 @@ def leader_clusters(rows: DataFrame, percent: int) -> DataFrame:
     similar to at least percent / 100."""
     lead = spool(leaders(rows, percent), "leaders")
     return assign_to_nearest(lead, rows, percent).select(F.col("h").alias("compound_id"), F.col("q").alias("cluster_id"), "sim")
+
+
+def grown_clusters(clusters: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The clusters of `rows` where `clusters` (compound_id, cluster_id, sim) has those of the rows of smaller ids: equal to `leader_clusters` of all rows.
+
+    A pass in id order picks the old leaders first, so they stay. New rows that are similar to none of them give the new leaders; new rows
+    then meet all leaders, old rows the new leaders only. Old rows are never compared with old ones."""
+    known = clusters.select(F.col("compound_id").alias("id"), "cluster_id", "sim")
+    old_leaders = rows.join(known.filter("id = cluster_id").select("id"), "id", "left_semi")
+    new = spool(rows.join(known.select("id"), "id", "left_anti").select("id", "fp", "n"), "new")
+    by_old = spool(similar_pairs(old_leaders, new, percent), "by_old")
+    open_ = new.join(by_old.select(F.col("h").alias("id")), "id", "left_anti")
+    fresh = spool(leaders(open_, percent), "leaders")
+    found = by_old.unionByName(similar_pairs(fresh, new, percent))
+    # An old row may be nearer to a new leader; a leader is its own, and of equal similarities the older leader counts.
+    kept = known.select(F.col("id").alias("h"), F.col("cluster_id").alias("q"), "sim")
+    others = rows.join(known.filter("id <> cluster_id").select("id"), "id", "left_semi")
+    found = found.unionByName(kept).unionByName(similar_pairs(fresh, others, percent))
+    own = fresh.select(F.col("id").alias("h"), F.col("id").alias("q"), F.lit(1.0).alias("sim"))
+    every = nearest(found).join(own.select("h"), "h", "left_anti").unionByName(own)
+    return every.select(F.col("h").alias("compound_id"), F.col("q").alias("cluster_id"), "sim")

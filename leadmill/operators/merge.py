@@ -88,7 +88,7 @@ def store_scores(state: DataFrame, scores: DataFrame, iteration: int) -> DataFra
 
 def export(state: DataFrame, clusters: DataFrame, cutoff: float) -> DataFrame:
     """Scored compounds up to the cutoff that have a cluster, best first; titles carry the id."""
-    hits = state.filter(F.col("dock_score") <= cutoff).join(clusters, "compound_id")
+    hits = state.filter(F.col("dock_score") <= cutoff).join(clusters.select("compound_id", "cluster_id"), "compound_id")
     title = F.concat_ws("/", "smilesid", F.col("compound_id").cast("string"))
     return hits.orderBy("dock_score", "compound_id").withColumn("smilesid", title).drop("compound_id")
 

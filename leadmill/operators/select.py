@@ -57,6 +57,6 @@ def smallest(rows: DataFrame, score: str, ties: list[str], k: int) -> DataFrame:
     if rows.count() <= k:
         return rows
     sure, here, wanted = threshold(rows.select(score), score, k)
-    order = F.struct(score, *ties)
+    order = F.struct(*dict.fromkeys((score, *ties)))
     ranked = with_dense_ids(rows.filter(here).withColumn("_order", order), "_order", 0, "_place")
     return rows.filter(sure).unionByName(ranked.filter(F.col("_place") <= wanted).drop("_order", "_place"))

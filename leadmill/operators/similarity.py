@@ -1,32 +1,51 @@
 """Similarity joins of fingerprints: a stated query set against all rows.
 
 Counts of bits bound the similarity, so they are dealt into bands and a query meets the rows of the bands that it can be
-similar to. Up to QUERY_BLOCK queries are broadcast and the rows stay where they are. More queries are
-dealt into blocks of that size and each block meets the rows in a shuffled join on (band, block, part of the rows).
+similar to. While the queries are small they are broadcast and the rows stay where they are. More queries meet the rows through an
+inverted index: of two sets of a similarity, the rarest bits of either, as many as the threshold leaves over, have one in common, so each row
+is listed under these bits only. Frequent bits are dealt over parts by the number of their rows. Without a threshold every pair counts, and
+queries are dealt into blocks, each of which meets all rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fingerprint import common, popcount, tanimoto
+from ..functions.fingerprint import common, popcount, set_bits, tanimoto
+from ..store import spool
 
-QUERY_BLOCK = 1000
+BROADCAST_BYTES = 16 << 20
 BANDS = 16  # of the counts of bits
+LISTED = 100_000  # rows of one part of a bit's list
 
 
 def fingerprints(rows: DataFrame, id_col: str, fp) -> DataFrame:
     return rows.select(F.col(id_col).alias("id"), fp.alias("fp")).withColumn("n", popcount(F.col("fp")))
 
 
+def _enough(percent: int, words: int) -> Column:
+    """Of columns fq, nq, fh, nh: different rows that are similar to percent / 100. Counts first, they cost least."""
+    able = 100 * F.least("nq", "nh") >= percent * F.greatest("nq", "nh")
+    i = common(F.col("fq"), F.col("fh"), words)
+    return (F.col("q") != F.col("h")) & able & (F.col("nq") + F.col("nh") > 0) & (100 * i >= percent * (F.col("nq") + F.col("nh") - i))
+
+
+def _with_sim(pairs: DataFrame, words: int) -> DataFrame:
+    return pairs.select("q", "h", tanimoto(common(F.col("fq"), F.col("fh"), words), F.col("nq"), F.col("nh")).alias("sim"))
+
+
 def similar_pairs(queries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """q, h, sim of every query with every other row that is similar to at least percent / 100."""
-    count, most = queries.agg(F.count("*"), F.max("n")).first()
-    blocks, width = max(1, -(-count // QUERY_BLOCK)), (most or 0) // BANDS + 1
+    count, most, words = queries.agg(F.count("*"), F.max("n"), F.max(F.size("fp"))).first()
+    most, words = most or 0, words or 1
+    block = max(1, BROADCAST_BYTES // ((BANDS + 1) * (8 * words + 32)))  # queries that may be broadcast
+    if count > block and percent > 0:
+        return indexed_pairs(queries, rows, percent)
+    width, blocks = most // BANDS + 1, max(1, -(-count // block))
     band = lambda n: F.floor(n / width).cast("int")
     # From n bits: n * percent / 100 to n * 100 / percent; what lies above the queries' counts is one more band.
-    low, high = F.ceil(F.col("nq") * percent / 100), F.floor(F.col("nq") * 100 / percent) if percent else F.lit(most or 0)
+    low, high = F.ceil(F.col("nq") * percent / 100), F.floor(F.col("nq") * 100 / percent) if percent else F.lit(most)
     top = F.lit(BANDS)
     q = queries.select(F.col("id").alias("q"), F.col("fp").alias("fq"), F.col("n").alias("nq"))
     q = q.withColumn("band", F.explode(F.sequence(band(low), F.least(band(high), top) if percent else top)))
@@ -38,10 +57,34 @@ def similar_pairs(queries: DataFrame, rows: DataFrame, percent: int) -> DataFram
         q = q.withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
         h = h.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         both = h.join(q, ["band", "block", "part"])
-    able = 100 * F.least("nq", "nh") >= percent * F.greatest("nq", "nh")
-    both = both.filter((F.col("q") != F.col("h")) & able & (F.col("nq") + F.col("nh") > 0)).withColumn("i", common(F.col("fq"), F.col("fh")))
-    enough = 100 * F.col("i") >= percent * (F.col("nq") + F.col("nh") - F.col("i"))
-    return both.filter(enough).select("q", "h", tanimoto(F.col("i"), F.col("nq"), F.col("nh")).alias("sim"))
+    return _with_sim(both.filter(_enough(percent, words)), words)
+
+
+def indexed_pairs(queries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """As `similar_pairs`, by the index of rarest bits; percent is above 0. A set of n bits that is to share ceil(n * percent / 100) of
+    them is listed under all but that many, less one: two such sets, both in the order of rarity, meet at the first bit that they share. A row and a query
+    are compared in the list of that bit alone, so no pair comes twice. What is shuffled grows with the rows and the queries."""
+    if percent <= 0:
+        raise ValueError("an index needs a threshold")
+    words = queries.agg(F.max(F.size("fp"))).first()[0] or 1
+    counts = dict(rows.select(F.explode(set_bits(F.col("fp"))).alias("bit")).groupBy("bit").count().collect())  # one number a bit
+    order = sorted(range(words * 32), key=lambda b: (counts.get(b, 0), b))
+    rank_of = F.lit([rank for _, rank in sorted((b, rank) for rank, b in enumerate(order))])
+
+    def listed(df: DataFrame) -> DataFrame:
+        ranks = F.array_sort(F.transform(F.filter(set_bits(F.col("fp")), lambda b: b < words * 32), lambda b: F.get(rank_of, b)))
+        keep = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+        return df.filter("n > 0").withColumn("rare", F.slice(ranks, F.lit(1), keep.cast("int")))
+
+    h = spool(listed(rows.select("id", "fp", "n")), "listed")
+    lists = dict(h.select(F.explode("rare").alias("bit")).groupBy("bit").count().collect())
+    parts_of = F.lit([max(1, -(-lists.get(rank, 0) // LISTED)) for rank in range(words * 32)])
+    h = h.select(F.col("id").alias("h"), F.col("fp").alias("fh"), F.col("n").alias("nh"), F.col("rare").alias("rh"), F.explode("rare").alias("bit"))
+    h = h.withColumn("part", F.pmod(F.xxhash64("h"), F.get(parts_of, F.col("bit"))).cast("int"))
+    q = listed(queries.select("id", "fp", "n")).select(F.col("id").alias("q"), F.col("fp").alias("fq"), F.col("n").alias("nq"), F.col("rare").alias("rq"), F.explode("rare").alias("bit"))
+    q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.get(parts_of, F.col("bit")) - 1)))
+    first = F.array_min(F.array_intersect("rq", "rh")) == F.col("bit")
+    return _with_sim(h.join(q, ["bit", "part"]).filter(_enough(percent, words)).filter(first), words)
 
 
 def top_per_query(queries: DataFrame, rows: DataFrame, k: int, percent: int = 0) -> DataFrame:
@@ -50,10 +93,32 @@ def top_per_query(queries: DataFrame, rows: DataFrame, k: int, percent: int = 0)
     return similar_pairs(queries, rows, percent).withColumn("rank", rank).filter(F.col("rank") <= k).select("q", "h", "sim", "rank")
 
 
+def nearest(pairs: DataFrame) -> DataFrame:
+    """(h, q, sim): of pairs (q, h, sim) each h with its most similar q, ties to the smaller q."""
+    best = F.max(F.struct("sim", (-F.col("q")).alias("order"))).alias("b")
+    return pairs.groupBy("h").agg(best).select("h", (-F.col("b.order")).alias("q"), "b.sim")
+
+
 def assign_to_nearest(centres: DataFrame, rows: DataFrame, percent: int = 0) -> DataFrame:
     """(h, q, sim): each row's most similar centre of those similar to at least percent / 100, a centre itself being
     its own; ties to the smaller centre."""
-    best = F.max(F.struct("sim", (-F.col("q")).alias("order"))).alias("b")
-    near = similar_pairs(centres, rows, percent).groupBy("h").agg(best).select("h", (-F.col("b.order")).alias("q"), "b.sim")
     own = centres.select(F.col("id").alias("h"), F.col("id").alias("q"), F.lit(1.0).alias("sim"))
-    return near.join(own.select("h"), "h", "left_anti").unionByName(own)
+    return nearest(similar_pairs(centres, rows, percent)).join(own.select("h"), "h", "left_anti").unionByName(own)
+
+
+def write_store(rows: DataFrame, path: str, width: int) -> None:
+    """Fingerprints (id, fp, n) as a table in folders by `width` counts of bits, sorted by the count within each file: what cannot be similar to
+    a query is neither listed nor, within a file, read."""
+    banded = rows.select("id", "fp", "n", F.floor(F.col("n") / width).cast("int").alias("band"))
+    # By ranges of count and id, so that a count that many rows share is written by many tasks.
+    banded.repartitionByRange("n", "id").sortWithinPartitions("n", "id").write.partitionBy("band").parquet(path)
+
+
+def stored_pairs(queries: DataFrame, path: str, width: int, percent: int) -> DataFrame:
+    """`similar_pairs` with the rows of a store, of which only the folders and row groups are read that the queries' counts of bits leave open."""
+    low, high = queries.agg(F.min("n"), F.max("n")).first()
+    rows = queries.sparkSession.read.parquet(path)
+    if low is not None and percent > 0:
+        least, most = -(-low * percent // 100), high * 100 // percent
+        rows = rows.filter(F.col("band").between(least // width, most // width) & F.col("n").between(least, most))
+    return similar_pairs(queries, rows.select("id", "fp", "n"), percent)

@@ -16,6 +16,7 @@ COMPOUNDS = _table(
     sim_fp=DoubleType(), sim_pharm=DoubleType(), query_cycle=IntegerType(), dock_iteration=IntegerType(), pred_version=IntegerType(), simsearch_cycle=IntegerType(),
 )
 CLUSTERS = _table(compound_id=LongType(), cluster_id=LongType())
+STORED_CLUSTERS = _table(compound_id=LongType(), cluster_id=LongType(), sim=DoubleType(), percent=IntegerType())
 MODELS = StructType([StructField("model_version", IntegerType()), StructField("path", StringType()), StructField("mean", DoubleType()), StructField("deviation", DoubleType())])
 PROPERTIES = StructType([StructField("property", StringType()), StructField("low", DoubleType()), StructField("high", DoubleType())])
 BLOBS = StructType([StructField("name", StringType()), StructField("content", BinaryType())])

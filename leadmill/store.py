@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -76,41 +77,122 @@ def _moved(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot move {path} to {to}")
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that is there as a whole or not at all; refuses to replace one."""
+    fs, where = file_system(spark, path)
+    _, draft = file_system(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(where) or not fs.rename(draft, where):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    fs, where = file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 class Campaign:
     """A campaign's tables, one folder a version: a round writes a new one, none is changed.
 
-    The latest version of a table is its state; counters are columns of the `counters` table, kept
-    explicitly so that a cycle that finds nothing still advances them.
+    A manifest names the version of every table that counts. The tables of a step are written first and published together, by one
+    manifest, when the step ends; what a broken step has written is never read, and the step can run again from the state before it. Counters are
+    columns of the `counters` table, kept explicitly so that a cycle that finds nothing still advances them.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._pending: dict[str, int] | None = None
+
+    def _names(self, folder: str) -> list[str]:
+        fs, where = file_system(self.spark, f"{self.path}/{folder}".rstrip("/"))
+        return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+    def _folders(self, name: str) -> list[int]:
+        """All versions of a table that have a folder, whole or not."""
+        return sorted(int(n[2:]) for n in self._names(name) if re.fullmatch(r"v=[0-9]+", n))
+
+    def _whole(self, name: str, version: int) -> bool:
+        fs, where = file_system(self.spark, f"{self.path}/{name}/v={version}/_SUCCESS")
+        return fs.exists(where)
+
+    def _manifests(self) -> list[int]:
+        return sorted(int(n) for n in self._names("manifest") if n.isdigit())
+
+    def published(self) -> dict[str, int]:
+        """The version of each table that counts; of a campaign without manifests the last whole one."""
+        numbers = self._manifests()
+        if numbers:
+            return json.loads(get_text(self.spark, f"{self.path}/manifest/{numbers[-1]:08d}"))
+        last = {name: [v for v in self._folders(name) if self._whole(name, v)] for name in self._names("")}
+        return {name: found[-1] for name, found in last.items() if found}
+
+    def _publish(self, versions: dict[str, int]) -> None:
+        number = (self._manifests() or [0])[-1] + 1
+        put_text(self.spark, f"{self.path}/manifest/{number:08d}", json.dumps(self.published() | versions))
+
+    @contextmanager
+    def step(self) -> Iterator[None]:
+        """The tables written inside are seen there at once, and count for others when the step has ended; after an error none of them
+        does. A step inside a step belongs to it."""
+        if self._pending is not None:
+            yield
+            return
+        self._pending = {}
+        try:
+            yield
+            if self._pending:
+                self._publish(self._pending)
+        finally:
+            self._pending = None
 
     def versions(self, name: str) -> list[int]:
-        fs, where = file_system(self.spark, f"{self.path}/{name}")
-        if not fs.exists(where):
-            return []
-        return sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(where) if s.getPath().getName().startswith("v="))
+        """The whole versions of a table up to the one that counts."""
+        last = (self.published() | (self._pending or {})).get(name, 0)
+        return [v for v in self._folders(name) if v <= last and self._whole(name, v)]
 
     def read(self, name: str) -> DataFrame | None:
-        found = self.versions(name)
-        return self.spark.read.parquet(f"{self.path}/{name}/v={found[-1]}") if found else None
+        version = (self.published() | (self._pending or {})).get(name)
+        return None if version is None else self.spark.read.parquet(f"{self.path}/{name}/v={version}")
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        """The next version; refuses to overwrite one."""
-        version = (self.versions(name) or [0])[-1] + 1
+        """The next version, published at once outside a step; refuses to overwrite one."""
+        version = (self._folders(name) or [0])[-1] + 1
         df.write.mode("errorifexists").parquet(f"{self.path}/{name}/v={version}")
+        if self._pending is None:
+            self._publish({name: version})
+        else:
+            self._pending[name] = version
         return self.spark.read.parquet(f"{self.path}/{name}/v={version}")
 
+    def _row(self, name: str, default: dict[str, int]) -> dict[str, int]:
+        df = self.read(name)
+        return df.first().asDict() if df is not None else default
+
     def counters(self) -> dict[str, int]:
-        df = self.read("counters")
-        return df.first().asDict() if df is not None else {"cycle": 0, "iteration": 0, "models": 0}
+        return self._row("counters", {"cycle": 0, "iteration": 0, "models": 0})
+
+    def _set(self, name: str, row: dict[str, int]) -> None:
+        self.write(name, self.spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row)))
 
     def advance(self, **new: int) -> dict[str, int]:
         row = self.counters() | new
-        self.write("counters", self.spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} long" for k in row)))
+        self._set("counters", row)
         return row
 
+    def progress(self) -> int:
+        """Steps of the round that are done; 0 between rounds."""
+        return self._row("progress", {"done": 0})["done"]
+
+    def set_progress(self, done: int) -> None:
+        self._set("progress", {"done": done})
+
     def archive(self, to: str) -> None:
         """Moves the whole campaign to `to`."""
         _moved(self.spark, self.path, to)
@@ -122,8 +204,11 @@ class Campaign:
         return cls(spark, path)
 
     def clean(self, keep: int = 1) -> None:
-        """Drops all but the latest `keep` versions of every table."""
-        fs, where = file_system(self.spark, self.path)
-        for table in [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []:
-            for v in self.versions(table)[:-keep]:
-                fs.delete(file_system(self.spark, f"{self.path}/{table}/v={v}")[1], True)
+        """Drops all but the latest `keep` versions of every table, and what broken steps left behind."""
+        fs, _ = file_system(self.spark, self.path)
+        kept = {name: set(self.versions(name)[-keep:]) for name in self._names("") if name not in ("manifest", "model_files")}
+        for number in self._manifests()[:-1]:
+            fs.delete(file_system(self.spark, f"{self.path}/manifest/{number:08d}")[1], False)
+        for name, versions in kept.items():
+            for v in set(self._folders(name)) - versions:
+                fs.delete(file_system(self.spark, f"{self.path}/{name}/v={v}")[1], True)
