@@ -27,8 +27,9 @@ def fingerprints(rows: DataFrame, id_col: str, fp) -> DataFrame:
 def _enough(percent: int, words: int) -> Column:
     """Of columns fq, nq, fh, nh: different rows that are similar to percent / 100. Counts first, they cost least."""
     able = 100 * F.least("nq", "nh") >= percent * F.greatest("nq", "nh")
-    i = common(F.col("fq"), F.col("fh"), words)
-    return (F.col("q") != F.col("h")) & able & (F.col("nq") + F.col("nh") > 0) & (100 * i >= percent * (F.col("nq") + F.col("nh") - i))
+    # 100 * i >= percent * (nq + nh - i), with the common bits counted once.
+    alike = (100 + percent) * common(F.col("fq"), F.col("fh"), words) >= percent * (F.col("nq") + F.col("nh"))
+    return (F.col("q") != F.col("h")) & able & (F.col("nq") + F.col("nh") > 0) & alike
 
 
 def _with_sim(pairs: DataFrame, words: int) -> DataFrame:
@@ -84,6 +85,9 @@ def indexed_pairs(queries: DataFrame, rows: DataFrame, percent: int) -> DataFram
     q = listed(queries.select("id", "fp", "n")).select(F.col("id").alias("q"), F.col("fp").alias("fq"), F.col("n").alias("nq"), F.col("rare").alias("rq"), F.explode("rare").alias("bit"))
     q = q.withColumn("part", F.explode(F.sequence(F.lit(0), F.get(parts_of, F.col("bit")) - 1)))
     first = F.array_min(F.array_intersect("rq", "rh")) == F.col("bit")
+    # Lists are short and their comparisons many, so their number of partitions must not follow their bytes.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h, q = (side.repartition(parts, "bit", "part") for side in (h, q))
     return _with_sim(h.join(q, ["bit", "part"]).filter(_enough(percent, words)).filter(first), words)
 
 

