@@ -46,10 +46,10 @@ class Piece:
     length: int
     loss: int
     total: int
-    ids: bytes = b""
+    ids: bytes | memoryview = b""
 
     def cut(self, n: int) -> tuple[Piece, Piece]:
-        """The first n tokens and the rest, for pieces whose tokens all bear loss."""
+        """The first n tokens and the rest, for pieces whose tokens all bear loss. Ids that are a view stay views of one buffer."""
         head = Piece(self.key, self.start, n, n, self.total, self.ids[: 4 * n])
         return head, Piece(self.key, self.start + n, self.length - n, self.length - n, self.total, self.ids[4 * n :])
 
@@ -124,9 +124,12 @@ def pack(pieces: Iterable[Piece], limits: Limits, cut: bool) -> Iterator[list[Pi
         yield from powers(sequence) if cut and short else [sequence]
 
     for piece in pieces:
-        while cut and piece.length > whole:
-            head, piece = piece.cut(whole)
-            yield from closed([head])
+        if cut and piece.length > whole:
+            piece.ids = memoryview(piece.ids)
+            while piece.length > whole:
+                head, piece = piece.cut(whole)
+                yield from closed([head])
+            piece.ids = bytes(piece.ids)  # what waits must not hold the whole text's ids
         packer.add(piece)
         for sequence in packer.ready():
             yield from closed(sequence)
