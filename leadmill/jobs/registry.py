@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions import molecules
 from ..functions.fingerprint import sign_bits
-from ..operators import acquire, cluster, filters, merge, select, similarity, surrogate
+from ..operators import acquire, cluster, filters, merge, network, select, similarity, surrogate
 from ..schema import Settings
+from ..sources import archives
 from ..store import Campaign, file_system, shared_dir
-from . import screening
+from . import providers, screening
 
 CUTOFF = -80000.0
 
@@ -384,6 +385,40 @@ def target_scaling(spark, sf_dir):
     return split.select("vec_id", "split", F.round((F.col("score") - mean) / deviation, 6).alias("scaled"))
 
 
+@query("select l_orderkey * 8 + l_linenumber title, -l_extendedprice score from lineitem where -l_extendedprice <= -60000")
+def archived_results_to_cutoff(spark, sf_dir):
+    """All result rows packed as sorted files in archives, read up to a cutoff."""
+    rows = Tables(spark, sf_dir).lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("title"), (-F.col("l_extendedprice")).alias("score"))
+    folder = f"{shared_dir(spark)}/leadmill-{uuid.uuid4().hex}"
+    fs, where = file_system(spark, folder)
+    fs.deleteOnExit(where)
+    archives.pack(rows, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return archives.results(spark, folder, in_order=True).filter("score <= -60000").select("title", "score")
+
+
+@F.udtf(returnType="title bigint, score double")
+class PartScores:
+    """One score for each third of a part's size, so small parts have none."""
+
+    def eval(self, row):
+        for k in range(row["p_size"] // 17):
+            yield row["p_partkey"], -row["p_retailprice"] - k
+
+
+@query("select p_partkey title, -p_retailprice - k score from (select *, unnest(range(0, p_size // 17)) k from part)")
+def scored_by_table_function(spark, sf_dir):
+    parts = Tables(spark, sf_dir).part.select("p_partkey", "p_size", "p_retailprice")
+    return providers.from_table_function(PartScores, 64, "p_partkey")(parts)
+
+
+@query()
+def network_predict(spark, sf_dir):
+    """By a network of few epochs; iterative, so without SQL. Tested against a linear model on a curved target."""
+    rows = _training_rows(Tables(spark, sf_dir))
+    model = network.train(rows, "embedding", "score", "vec_id", hidden=(16,), epochs=12)
+    return surrogate.predict(model, rows, "embedding", 1).select("vec_id", F.round("pred_score", 4).alias("pred_score"), "pred_version")
+
+
 @query()
 def surrogate_predict(spark, sf_dir):
     rows = _training_rows(Tables(spark, sf_dir))

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions import molecules
 from ..functions.fingerprint import sign_bits
-from ..operators import acquire, cluster, filters, merge, similarity, surrogate
+from ..operators import acquire, cluster, filters, merge, network, similarity, surrogate
 from ..schema import COMPOUNDS, MODELS, PROPERTIES, STORED_CLUSTERS, PropertyLimits, Settings
 from ..sources import writers
-from ..store import Campaign, scratch, spool
+from ..store import Campaign, file_system, scratch, spool
 
 Search = Callable[[DataFrame], DataFrame]
 Prepare = Callable[[DataFrame], DataFrame]
@@ -165,11 +165,19 @@ def dock(campaign: Campaign, score: Score, settings: Settings, seeds: bool = Fal
 def train_model(campaign: Campaign, settings: Settings):
     """A model of the docked compounds under the cutoff, stored as the next version with its scaling."""
     rows = campaign.read("compounds").filter(F.col("dock_score") < settings.train_cutoff).select("compound_id", "vector", "dock_score")
-    model = surrogate.train(rows, "vector", "dock_score", "compound_id")
     version = campaign.counters()["models"] + 1
     path = f"{campaign.path}/model_files/{version}"
-    model[0].write().overwrite().save(path)
-    row, known = campaign.spark.createDataFrame([(version, path, float(model[1]), float(model[2]))], MODELS), campaign.read("models")
+    if settings.surrogate == "network":
+        model = network.train(rows, "vector", "dock_score", "compound_id", settings.hidden, settings.epochs)
+        model.save(campaign.spark, path)
+        mean, deviation = model.mean, model.deviation
+    elif settings.surrogate == "linear":
+        model = surrogate.train(rows, "vector", "dock_score", "compound_id")
+        model[0].write().overwrite().save(path)
+        _, mean, deviation = model
+    else:
+        raise ValueError(f"no surrogate {settings.surrogate!r}")
+    row, known = campaign.spark.createDataFrame([(version, path, float(mean), float(deviation))], MODELS), campaign.read("models")
     with campaign.step():
         campaign.write("models", row if known is None else known.unionByName(row))
         campaign.advance(models=version)
@@ -183,7 +191,11 @@ def load_model(campaign: Campaign, version: int | None = None):
     if found is None:
         raise LookupError(f"no model {version if version is not None else ''} in {campaign.path}")
     # A campaign may have moved since the model was stored.
-    return LinearRegressionModel.load(f"{campaign.path}/model_files/{found.model_version}"), found["mean"], found["deviation"]
+    path = f"{campaign.path}/model_files/{found.model_version}"
+    fs, linear = file_system(campaign.spark, f"{path}/metadata")
+    if not fs.exists(linear):
+        return network.Network.load(campaign.spark, path)
+    return LinearRegressionModel.load(path), found["mean"], found["deviation"]
 
 
 def repredict(campaign: Campaign, model) -> DataFrame:

@@ -45,8 +45,13 @@ def train(rows: DataFrame, vector_col: str, target: str, id_col: str, regularisa
     return models[errors.index(min(errors))], mean, deviation
 
 
-def predict(model: tuple[LinearRegressionModel, float, float], rows: DataFrame, vector_col: str, version: int) -> DataFrame:
-    """`rows` with pred_score and pred_version; an empty input gives an empty result."""
+def predict(model, rows: DataFrame, vector_col: str, version: int) -> DataFrame:
+    """`rows` with pred_score and pred_version, by a linear model with its scaling or by a network; an empty input gives an empty result."""
+    if not isinstance(model, tuple):
+        from .network import predicted
+
+        score = predicted(rows.sparkSession, model, F.col(vector_col).cast("array<double>"))
+        return rows.withColumn("pred_score", score).withColumn("pred_version", F.lit(version))
     fitted, mean, deviation = model
     done = fitted.transform(rows.withColumn("features", array_to_vector(F.col(vector_col).cast("array<double>"))))
     return done.withColumn("pred_score", F.col("prediction") * deviation + mean).withColumn("pred_version", F.lit(version)).drop("features", "prediction")

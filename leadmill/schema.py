@@ -45,7 +45,8 @@ class PropertyLimits:
 
 @dataclass(frozen=True)
 class Settings:
-    """What a campaign may set; the defaults are the published ones. `acquisition` is greedy or clustering."""
+    """What a campaign may set; the defaults are the published ones, but for the surrogate. `acquisition` is greedy or clustering, `surrogate`
+    linear or network, with `hidden` layers and `epochs`."""
 
     train_cutoff: float = 10.0
     min_similarity: tuple[tuple[str, float], ...] = (("fp", 0.5), ("pharm", 0.9))
@@ -57,4 +58,7 @@ class Settings:
     seeds: int = 1_000_000
     cluster_similarity_percent: int = 30
     acquisition: str = "greedy"
+    surrogate: str = "linear"
+    hidden: tuple[int, ...] = (32,)
+    epochs: int = 60
     limits: PropertyLimits = field(default_factory=PropertyLimits)
