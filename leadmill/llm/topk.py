@@ -64,17 +64,17 @@ class Search:
         self.met += len(left)
         yq = (q if self.turn is None else q @ self.turn)[None]
         slack = SLACK * (1 + np.sqrt((q**2).sum()) * self.norm[left])
-        known = np.full(len(self.ids), np.nan)  # exact scores so far
+        seen, rows_seen, scores = np.zeros(len(self.ids), bool), np.empty(0, np.int64), np.empty(0)  # scored exactly so far
         done, at, bound, least = np.zeros(len(left)), 0, np.full(len(left), np.inf), -np.inf
 
         def score(rows: np.ndarray) -> None:
-            nonlocal least
-            rows = rows[np.isnan(known[rows])]
-            known[rows] = self.x[rows] @ q
+            nonlocal least, rows_seen, scores
+            rows = rows[~seen[rows]]
+            seen[rows] = True
+            rows_seen, scores = np.append(rows_seen, rows), np.append(scores, self.x[rows] @ q)
             self.scored += len(rows)
-            have = known[~np.isnan(known)]
-            if len(have) >= k:
-                least = max(least, np.partition(have, len(have) - k)[len(have) - k])
+            if len(scores) >= k:
+                least = np.partition(scores, len(scores) - k)[len(scores) - k]
 
         for front, tail in zip(self.fronts, self.tails):
             if len(left) <= 4 * k:
@@ -90,8 +90,7 @@ class Search:
             if bound[order[start]] < least:
                 break
             score(left[order[start : start + CHUNK]])
-        rows = np.flatnonzero(~np.isnan(known))
-        return rows, known[rows]
+        return rows_seen, scores
 
 
 def best_in_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, turn: np.ndarray | None = None) -> list[tuple[int, int, int]]:
