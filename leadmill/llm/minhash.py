@@ -181,12 +181,39 @@ def star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent:
     return both.filter(100 * common >= percent * (F.size("su") + F.size("sv") - common)).select("u", "v")
 
 
+class RareIndex:
+    """The sets of a group, listed under their rarest shingles: of a set of n, under all but the ceil(n * percent / 100) that it must share with
+    any set so similar, and one more. Two such sets meet in the list of the rarest shingle that they share."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        n = np.array([len(s) for s in sets])
+        values, of, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        rank = np.empty(len(values), np.int64)
+        rank[np.argsort(counts, kind="stable")] = np.arange(len(values))
+        rank, row = rank[of], np.repeat(np.arange(len(sets)), n)
+        rarest = np.lexsort((rank, row))
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        keep = place < np.repeat(n + (-percent * n // 100) + 1, n)
+        self.rank, row = rank[rarest][keep], row[keep]  # of each set in turn
+        self.first = np.searchsorted(row, np.arange(len(sets) + 1))
+        by_rank = np.argsort(self.rank, kind="stable")
+        self.rows, self.starts = row[by_rank], np.searchsorted(self.rank[by_rank], np.arange(len(values) + 1))
+
+    def partners(self, u: int) -> np.ndarray:
+        """The sets in the lists of u, itself among them."""
+        own = self.rank[self.first[u] : self.first[u + 1]]
+        own = own[self.starts[own + 1] - self.starts[own] > 1]
+        return np.unique(np.concatenate([self.rows[self.starts[r] : self.starts[r + 1]] for r in own])) if len(own) else own
+
+
 def joining_links(g: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     """Confirmed links between the rows (k, n, c, far, part, signature, s) of one group that join
-    components: between rows that are `far` and any others, of different blocks where the group holds two."""
+    components: between rows that are `far` and any others, of different blocks where the group holds two. Only sets that share one of
+    their rarest shingles are looked at, so what many share costs nothing."""
     k, n, c, far, part = (g[x].to_numpy() for x in ("k", "n", "c", "far", "part"))
     signature = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), FUNCTIONS)
     sets, two, least = g["s"].tolist(), part.min() != part.max(), floor(percent)
+    index = RareIndex(sets, percent)
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -195,9 +222,18 @@ def joining_links(g: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
             x = up
         return x
 
-    now, links = c.copy(), []
+    def apart(v: np.ndarray, u: int) -> np.ndarray:
+        """Those of v that no link joins to u yet."""
+        if not root:
+            return v[c[v] != c[u]]
+        mine = find(int(c[u]))
+        return v[np.array([find(x) != mine for x in c[v].tolist()], bool)] if len(v) else v
+
+    links = []
     for u in np.flatnonzero(far):
-        v = np.flatnonzero((now != now[u]) & (100 * np.minimum(n, n[u]) >= percent * np.maximum(n, n[u])) & ((part != part[u]) | (not two)) & (~far | (k > k[u])))
+        v = index.partners(u)
+        v = v[(100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])) & ((part[v] != part[u]) | (not two)) & (~far[v] | (k[v] > k[u]))]
+        v = apart(v, u)
         v = v[(signature[v] == signature[u]).mean(axis=1) >= least] if len(v) else v
         while len(v):
             some, v = v[:256], v[256:]
@@ -210,9 +246,7 @@ def joining_links(g: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
                 if a != b:
                     root[max(a, b)] = min(a, b)
                     links.append((int(k[u]), int(k[x])))
-            v = v[[find(int(c[x])) != find(int(c[u])) for x in v]] if links else v
-        if links:
-            now = np.array([find(int(x)) for x in c])
+            v = apart(v, u)
     return links
 
 
