@@ -53,8 +53,9 @@ class Search:
         self.ids, self.x, self.turn = ids, x, turn
         dim = x.shape[1]
         self.fronts = sorted({int(dim * share) for share in LEVELS})
-        self.y = x if turn is None else x @ turn
-        self.tails = [tail_statistics(self.y, f) for f in self.fronts]
+        y = x if turn is None else x @ turn
+        self.parts = [np.ascontiguousarray(y[:, a:b]) for a, b in zip([0, *self.fronts], self.fronts)]  # what each level adds
+        self.tails = [tail_statistics(y, f) for f in self.fronts]
         self.norm = np.sqrt((x**2).sum(axis=1))
         self.scored = self.met = 0
 
@@ -76,12 +77,14 @@ class Search:
             if len(scores) >= k:
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
 
-        for front, tail in zip(self.fronts, self.tails):
+        for front, part, tail in zip(self.fronts, self.parts, self.tails):
             if len(left) <= 4 * k:
                 break
-            done = done + self.y[left, at:front] @ yq[0, at:front]
+            whole = len(left) + 1 >= len(self.ids)  # products of all rows need no copy of them
+            more, rest = part @ yq[0, at:front] if whole else part[left] @ yq[0, at:front], tail_statistics(yq, front)[0]
+            done = done + (more[left] if whole else more)
             at = front
-            bound = done + tail[left] @ tail_statistics(yq, front)[0] + slack
+            bound = done + ((tail @ rest)[left] if whole else tail[left] @ rest) + slack
             score(left[np.argpartition(-bound, k - 1)[:k]])
             stay = bound >= least
             left, done, bound, slack = left[stay], done[stay], bound[stay], slack[stay]

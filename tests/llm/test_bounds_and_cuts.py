@@ -37,8 +37,8 @@ def test_bounds_hold_at_every_level():
         search = topk.Search(np.arange(300), x, turn)
         yq = (q if turn is None else q @ turn)[None]
         last = np.full(300, np.inf)
-        for front, tail in zip(search.fronts, search.tails):
-            bound = search.y[:, :front] @ yq[0, :front] + tail @ topk.tail_statistics(yq, front)[0]
+        for n, (front, tail) in enumerate(zip(search.fronts, search.tails), 1):
+            bound = np.hstack(search.parts[:n]) @ yq[0, :front] + tail @ topk.tail_statistics(yq, front)[0]
             assert (bound >= x @ q - 1e-6).all()
             last = bound
         assert (last < np.abs(q).sum() * np.abs(x).max()).all()
