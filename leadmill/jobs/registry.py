@@ -18,7 +18,7 @@ from ..functions.fingerprint import sign_bits
 from ..operators import acquire, cluster, filters, merge, network, select, similarity, surrogate
 from ..schema import Settings
 from ..sources import archives
-from ..store import Campaign, file_system, shared_dir
+from ..store import Campaign, file_system, shared_dir, spool
 from . import providers, screening
 
 CUTOFF = -80000.0
@@ -322,7 +322,7 @@ def stored_similar_pairs(spark, sf_dir):
     return similarity.stored_pairs(fp.filter("id % 50 = 0"), folder, 4, 55)
 
 
-@query(f"""with recursive {FP_SQL}, e as materialized (select a.vec_id a, b.vec_id b from fp a join fp b on a.vec_id < b.vec_id where 5 * {PAIR_SQL} >= 2 * (a.n + b.n - {PAIR_SQL}) and a.n + b.n > 0),
+LEADERS_SQL = f"""with recursive {FP_SQL}, e as materialized (select a.vec_id a, b.vec_id b from fp a join fp b on a.vec_id < b.vec_id where 5 * {PAIR_SQL} >= 2 * (a.n + b.n - {PAIR_SQL}) and a.n + b.n > 0),
 o as materialized (select vec_id, row_number() over (order by vec_id) rn, (select count(*) from fp) total from fp),
 pass as (select 0::bigint rn, []::bigint[] led union all
   select p.rn + 1, case when exists (select 1 from e where e.b = o.vec_id and list_contains(p.led, e.a)) then p.led else list_append(p.led, o.vec_id) end from pass p join o on o.rn = p.rn + 1),
@@ -330,12 +330,24 @@ l as (select unnest(led) id from (select led from pass order by rn desc limit 1)
 s as (select b.vec_id h, a.vec_id q, cast({PAIR_SQL} as double) / (a.n + b.n - {PAIR_SQL}) sim from l join fp a on a.vec_id = l.id join fp b on a.vec_id <> b.vec_id
   where 5 * {PAIR_SQL} >= 2 * (a.n + b.n - {PAIR_SQL}) and a.n + b.n > 0 and b.vec_id not in (select id from l)),
 r as (select *, row_number() over (partition by h order by sim desc, q) rn from s)
-select h compound_id, q cluster_id, sim from r where rn = 1 union all select id, id, 1.0 from l""")
+select h compound_id, q cluster_id, sim from r where rn = 1 union all select id, id, 1.0 from l"""
+
+
+@query(LEADERS_SQL)
 def leader_clusters(spark, sf_dir):
     """A pass in id order, in the SQL row by row."""
     return cluster.leader_clusters(Tables(spark, sf_dir).fingerprints(), 40)
 
 
+@query(LEADERS_SQL)
+def grown_leader_clusters(spark, sf_dir):
+    """The same clusters, of the rows up to the middle first, then with the others added."""
+    fp = Tables(spark, sf_dir).fingerprints()
+    middle = fp.agg(F.percentile_approx("id", 0.5)).first()[0]
+    half = spool(cluster.leader_clusters(fp.filter(F.col("id") <= middle), 40), "half")
+    return cluster.grown_clusters(half, fp, 40)
+
+
 @query("with t as (select doc_id, row_number() over (order by doc_id) rn, count(*) over () n from labels) select doc_id, case when rn > n - greatest(1, cast(floor(n * 0.1) as bigint)) then 'val' else 'train' end split from t")
 def tail_split(spark, sf_dir):
     return surrogate.tail_split(Tables(spark, sf_dir).labels.select("doc_id"), "doc_id")
