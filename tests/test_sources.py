@@ -136,7 +136,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
     module = types.ModuleType("toy_providers")
     module.factory = lambda session, space: types.SimpleNamespace(search=search, prepare=prepare, score=score)
     monkeypatch.setitem(sys.modules, "toy_providers", module)
-    (tmp_path / "s.smi").write_text("".join(f"m{i} t{i}\n" for i in range(20)))
+    (tmp_path / "s.smi").write_text("".join(f"m{i} t{i}\n" for i in range(10, 30)))
     (tmp_path / "grid.zip").write_bytes(b"grid")
     base = ["--database", f"file://{tmp_path}/job", "--providers", "toy_providers:factory"]
     run = lambda *args: command.main([*base, "--action", *args], spark)
@@ -144,7 +144,7 @@ def test_command_line(spark, tmp_path, monkeypatch):
         with pytest.raises(SystemExit):
             run(*wrong)
     run("importsmiles", "--smiles", f"file://{tmp_path}/s.smi", "--dock_grid", f"file://{tmp_path}/grid.zip")
-    run("screen", "--mode", "clustering", "--simsearch_queries", "3", "--dock_mols", "4", "--simsearch_cpus", "7")
+    run("screen", "--mode", "clustering", "--simsearch_queries", "6", "--dock_mols", "4", "--simsearch_cpus", "7")
     run("cluster")
     run("exportcsv", "--cutoff", "-3", "--export_file", f"file://{tmp_path}/out")
     campaign = Campaign(spark, f"file://{tmp_path}/job")
