@@ -9,6 +9,9 @@ margins, wherever they stand, and their inner phrases get equal names, level aft
 
 A fingerprint holds, for three levels, the smallest hashes of the phrase names, each with its number among
 equal ones; the likeness of two is the estimated share of common names, averaged over the levels.
+
+As a cut is known from four symbols before it and one after it, a long text goes through all levels slice by slice: each level
+keeps its open phrase and these neighbours, so memory follows the names of the second level and not the characters.
 """
 
 from __future__ import annotations
@@ -69,10 +72,59 @@ def parse(x: np.ndarray, first: np.ndarray, level: int) -> tuple[np.ndarray, np.
     down = np.ones(len(x), bool)
     down[:-1] = (label[:-1] > label[1:]) | first[1:]
     start = np.flatnonzero((up & down & ~np.append(first[1:], True)) | first)
-    length = np.diff(np.append(start, len(x)))
-    place = np.arange(len(x)) - np.repeat(start, length)
-    name = np.add.reduceat(mix(x) * _POWERS[place % 64], start)
-    return mix(name + np.uint64(level)), first[start]
+    return names(x, start, level), first[start]
+
+
+def names(x: np.ndarray, start: np.ndarray, level: int) -> np.ndarray:
+    """The names of the phrases of `x` that start at `start`, the first at 0."""
+    place = np.arange(len(x)) - np.repeat(start, np.diff(np.append(start, len(x))))
+    return mix(np.add.reduceat(mix(x) * _POWERS[place % 64], start) + np.uint64(level))
+
+
+class Level:
+    """A level over one text that comes in slices: the names that `parse` gives, as far as they are settled."""
+
+    def __init__(self, level: int):
+        self.level = level
+        self.run: tuple[np.ndarray, int] | None = None  # the open run: its symbol and length
+        self.held = np.empty(0, np.uint64)  # the open phrase and what its neighbours need
+        self.open = 0  # where the open phrase starts in it
+        self.settled = 1  # cuts before this place are known
+        self.whole = True  # `held` starts where the text does
+
+    def runs(self, x: np.ndarray, last: bool) -> np.ndarray:
+        """The symbols of the runs that have ended."""
+        at = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.empty(0, int)
+        run, x = np.diff(np.append(at, len(x))).astype(np.uint64), x[at]
+        if self.run is not None:
+            symbol, n = self.run
+            if len(x) and x[0] == symbol[0]:
+                run[0] += np.uint64(n)
+            else:
+                x, run = np.append(symbol, x), np.append(np.uint64(n), run)
+        self.run = None
+        if not last and len(x):
+            self.run = (x[-1:].copy(), int(run[-1]))
+            x, run = x[:-1], run[:-1]
+        return np.where(run > 1, mix(x + run * np.uint64(0xD6E8FEB86659FD93)), x)
+
+    def feed(self, x: np.ndarray, last: bool) -> np.ndarray:
+        y = np.append(self.held, self.runs(x, last))
+        if not len(y):
+            return y
+        first = np.zeros(len(y), bool)
+        first[0] = self.whole
+        label = y
+        for _ in range(ROUNDS):
+            label = toss(label, first)
+        peak = np.flatnonzero((label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])) + 1
+        start = np.append(self.open, peak[peak >= self.settled])
+        end = len(y) if last else int(start[-1])
+        done = names(y[self.open : end], (start if last else start[:-1]) - self.open, self.level) if end > self.open else y[:0]
+        base = max(0, int(start[-1]) - ROUNDS - 1)
+        self.held, self.open, self.settled = y[base:].copy(), int(start[-1]) - base, max(1, len(y) - 1 - base)
+        self.whole = self.whole and base == 0
+        return done
 
 
 def smallest(x: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -92,21 +144,41 @@ def smallest(x: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return [np.unique(low[a:b][: 2 * KEEP])[:KEEP] for a, b in zip(edges, edges[1:])]
 
 
+def symbols(text: str) -> np.ndarray:
+    return mix(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
+
+
+def long_fingerprint(text: str) -> tuple[np.ndarray, ...]:
+    """The fingerprint of one text, of which a slice is parsed at a time."""
+    levels, kept = [Level(n) for n in range(1, max(LEVELS) + 1)], {n: [] for n in LEVELS}
+    for at in range(0, len(text), SLICE):
+        x = symbols(text[at : at + SLICE])
+        for level in levels:
+            x = level.feed(x, at + SLICE >= len(text))
+            if level.level in kept:
+                kept[level.level].append(x)
+    out = ()
+    for n in LEVELS:
+        x = np.concatenate(kept.pop(n))
+        out += tuple(smallest(x, np.append(True, np.zeros(len(x) - 1, bool))))
+    return out
+
+
 def fingerprints(texts: list[str]) -> list[tuple[np.ndarray, ...]]:
     """For each text, per level, its smallest name hashes (32 bits), ascending; none if it is empty."""
-    full = [i for i, t in enumerate(texts) if t]
-    out: list[tuple[np.ndarray, ...]] = [() for _ in texts]
+    full = [i for i, t in enumerate(texts) if 0 < len(t) <= SLICE]
+    out: list[tuple[np.ndarray, ...]] = [long_fingerprint(t) if len(t) > SLICE else () for t in texts]
     if not full:
         return out
-    points = [np.frombuffer(texts[i].encode("utf-32-le"), np.uint32) for i in full]
-    first = np.zeros(sum(map(len, points)), bool)
-    first[np.cumsum([0, *map(len, points)])[:-1]] = True
-    x = mix(np.concatenate(points).astype(np.uint64) + np.uint64(1))
+    lengths = [len(texts[i]) for i in full]
+    first = np.zeros(sum(lengths), bool)
+    first[np.cumsum([0, *lengths])[:-1]] = True
+    x = symbols("".join(texts[i] for i in full))
     for level in range(1, max(LEVELS) + 1):
         x, first = parse(x, first, level)
         if level in LEVELS:
-            for i, names in zip(full, smallest(x, first)):
-                out[i] += (names,)
+            for i, low in zip(full, smallest(x, first)):
+                out[i] += (low,)
     return out
 
 
@@ -171,7 +243,7 @@ def fingerprint_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     follows by descending id, the first after the last. A null text counts as empty; an empty text
     has an empty fingerprint, like only another empty one (1.0). Null ids come last; rows of one id
     follow each other by text. A single row follows itself. Only the two named columns are read; an
-    empty table gives no rows. Whole texts are parsed.
+    empty table gives no rows. Whole texts are parsed, very long ones slice by slice.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
