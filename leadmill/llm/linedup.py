@@ -118,12 +118,12 @@ def variants(lines: DataFrame) -> DataFrame:
 
 def neighbours(lines: DataFrame) -> DataFrame:
     """The ids of lines that have an earlier line within one edit, of different lines
-    (id, line, first), where `first` orders them."""
-    keyed = spool(variants(lines).join(lines.select("id", "first"), "id"), "variants")
-    kind = lambda k: keyed.filter(F.col("kind") == k).select("key", "id", "first")
-    own = kind("line").select("key", F.col("id").alias("x"), F.col("first").alias("fx"))
-    longer = kind("variant").join(own, "key").select(F.when(F.col("first") < F.col("fx"), F.col("id")).otherwise(F.col("x")).alias("early"), F.when(F.col("first") < F.col("fx"), F.col("x")).otherwise(F.col("id")).alias("late"))
-    earliest = kind("place").groupBy("key").agg(F.min(F.struct("first", "id")).alias("e"), F.count("*").alias("n")).filter("n > 1").select("key", F.col("e.id").alias("early"))
+    (id, line) whose ids ascend from the earliest."""
+    keyed = spool(variants(lines), "variants")
+    kind = lambda k: keyed.filter(F.col("kind") == k).select("key", "id")
+    own = kind("line").select("key", F.col("id").alias("x"))
+    longer = kind("variant").join(own, "key").select(F.least("id", "x").alias("early"), F.greatest("id", "x").alias("late"))
+    earliest = kind("place").groupBy("key").agg(F.min("id").alias("early"), F.count("*").alias("n")).filter("n > 1").select("key", "early")
     same = kind("place").join(spool(earliest, "earliest"), "key").filter("id <> early").select("early", F.col("id").alias("late"))
     pairs = longer.unionByName(same).distinct()
     text = lambda c: lines.select(F.col("id").alias(c), F.col("line").alias(f"t_{c}"))
@@ -137,7 +137,8 @@ def removals(docs: DataFrame, min_chars: int) -> DataFrame:
     first = F.min(F.struct("i", "x", "at")).alias("first")
     repeated = lines.groupBy(identity("line").alias("m")).agg(first, F.count("*").alias("n")).filter("n > 1").select("m", "first")
     chance = lines_with_chance(lines).groupBy(identity("line").alias("m")).agg(first, F.first("line").alias("line"))
-    chance = spool(chance.select("m", "line", "first", F.monotonically_increasing_id().alias("id")), "lines")
+    # Sorted, so that ids ascend with the places and tell which of two lines is the earlier.
+    chance = spool(chance.orderBy("first").select("m", "line", "first", F.monotonically_increasing_id().alias("id")), "lines")
     late = neighbours(chance)
     gone = chance.join(late, "id", "left_semi").select("m", F.lit(True).alias("late"))
     marked = repeated.join(gone, "m", "full").select("m", "first", F.coalesce("late", F.lit(False)).alias("late"))
