@@ -137,3 +137,13 @@ def test_shuffled_rows_are_dealt_evenly(spark):
     sizes = [r["count"] for r in rows.groupBy("part").count().collect()]
     assert len(sizes) == 8 and sum(sizes) == 4000 and min(sizes) > 350
     assert rows.select("id").distinct().count() == 4000
+
+
+def test_epochs_have_orders_of_their_own(spark):
+    rows = spark.range(200).withColumnRenamed("id", "k")
+    order = lambda rows, epoch: [r.k for r in surrogate.epoch_order(rows, epoch, 7, "k").orderBy("place").collect()]
+    first = order(rows, 1)
+    assert sorted(first) == list(range(200)) and first != sorted(first)
+    assert first == order(rows.repartition(7), 1)
+    assert first != order(rows, 2)
+    assert surrogate.epoch_order(rows.limit(0), 1, 7, "k").count() == 0

@@ -14,7 +14,7 @@ from leadmill import __main__ as command
 from leadmill.jobs import providers, screening
 from leadmill.operators import merge
 from leadmill.schema import Settings
-from leadmill.sources import archives
+from leadmill.sources import archives, readers, writers
 from leadmill.store import Campaign
 from leadmill.streaming import results
 
@@ -151,3 +151,29 @@ def test_command_line(spark, tmp_path, monkeypatch):
     assert campaign.counters() == {"cycle": 3, "iteration": 1, "models": 1} and campaign.read("docking_grid").first().content == b"grid"
     lines = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*")).splitlines()
     assert len(lines) - 1 == campaign.read("compounds").filter("dock_score <= -3").count() > 0
+
+
+def test_result_files_are_whole_and_stay(spark, tmp_path):
+    folder = f"file://{tmp_path}/results"
+    rows = spark.createDataFrame([(1, -3.5), (1, None), (2, 4.0)], "title long, score double")
+    writers.result_files(rows.repartition(2), folder)
+    writers.result_files(rows.filter("title = 2"), folder)
+    writers.result_files(rows, folder, skipped=True)
+    found = sorted(((r.title, r.score) for r in readers.docking_results(spark, folder).collect()), key=repr)
+    assert found == sorted([(1, -3.5), (1, None), (2, 4.0), (2, 4.0)], key=repr)
+    names = [p.name for p in (tmp_path / "results").iterdir() if not p.name.startswith(".")]
+    assert all(n.startswith("glide_") and n.endswith(".csv") for n in names)
+    assert any(n.endswith("_skip.csv") for n in names)
+
+
+def test_result_files_of_no_rows(spark, tmp_path):
+    folder = f"file://{tmp_path}/results"
+    writers.result_files(spark.createDataFrame([], "title long, score double"), folder)
+    assert [p.name for p in (tmp_path / "results").iterdir() if p.name.startswith("_")] == []
+
+
+def test_collections_are_compressed_and_keep_two_columns(spark, tmp_path):
+    rows = spark.createDataFrame([("CC", 1.5, "a b"), ("CO", None, "c")], "SMILES string, MW double, ID string")
+    writers.collection(rows, f"file://{tmp_path}/c")
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "c").glob("part-*"))
+    assert sorted(map(tuple, readers.collection(spark, f"file://{tmp_path}/c", "SMILES", "ID").collect())) == [("CC", "a b"), ("CO", "c")]
