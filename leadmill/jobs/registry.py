@@ -305,9 +305,8 @@ def assign_nearest_centroid(spark, sf_dir):
 @query("""with {FP} select a.vec_id q, b.vec_id h, cast({I} as double) / (a.n + b.n - {I}) sim from fp a join fp b on a.vec_id < b.vec_id
 where 5 * {I} >= 3 * (a.n + b.n - {I}) and a.n + b.n > 0""")
 def tanimoto_self_join(spark, sf_dir):
-    """Every row against every row from 0.6 on, by the index of rarest bits."""
-    fp = Tables(spark, sf_dir).fingerprints()
-    return similarity.indexed_pairs(fp, fp, 60).filter("q < h")
+    """Every row against every row from 0.6 on."""
+    return similarity.self_pairs(Tables(spark, sf_dir).fingerprints(), 60)
 
 
 @query("""with {FP} select a.vec_id q, b.vec_id h, cast({I} as double) / (a.n + b.n - {I}) sim from fp a join fp b on a.vec_id <> b.vec_id
