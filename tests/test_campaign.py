@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +223,77 @@ def test_half_written_versions_do_not_count(spark, tmp_path):
         assert campaign.read("t").count() == 7
         raise Broken
     assert campaign.read("t").count() == 5
+
+
+def dense(n, seed=6, bits=64):
+    """Half of the bits each, with copies and near copies, and one set without a bit."""
+    r = random.Random(seed)
+    sets = [frozenset(r.sample(range(bits), r.randrange(24, 41))) for _ in range(n - n // 4 - 1)]
+    return [*sets, frozenset(), *(frozenset(list(r.choice(sets))[r.randrange(2) :]) for _ in range(n // 4))]
+
+
+def by_tanimoto(a, b):
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("percent", [35, 60, 90])
+def test_dense_rows_meet_in_blocks_once(spark, percent, monkeypatch):
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 70)
+    monkeypatch.setattr(similarity, "QUERY_TILE", 16)
+    monkeypatch.setattr(similarity, "ROW_TILE", 32)
+    sets = dense(300)
+    pairs = similarity.self_pairs(table(spark, sets, words=2), percent)
+    assert "rare" not in pairs._jdf.queryExecution().executedPlan().toString()  # lists would hold more than all pairs
+    want = [(q, h, by_tanimoto(a, b)) for q, a in enumerate(sets, 1) for h, b in enumerate(sets, 1) if q < h and alike(a, b, percent)]
+    assert sorted((r.q, r.h, r.sim) for r in pairs.collect()) == want
+    df = table(spark, sets, words=2)
+    got = sorted((r.q, r.h, r.sim) for r in similarity.block_pairs(df.filter("id % 3 = 0"), df, percent).collect())
+    assert got == [(q, h, by_tanimoto(a, b)) for q, a in enumerate(sets, 1) for h, b in enumerate(sets, 1) if q % 3 == 0 and q != h and alike(a, b, percent)]
+
+
+def test_sparse_rows_still_meet_by_the_index(spark):
+    r = random.Random(3)
+    df = table(spark, [frozenset(sparse(r, 8, 24)) for _ in range(3000)], words=8)
+    assert "rare" in similarity.self_pairs(df, 80)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("k, percent", [(1, 0), (5, 0), (5, 60), (400, 0)])
+def test_top_rows_of_each_query(spark, k, percent, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(similarity, "QUERY_TILE", 16)
+    sets = dense(320, seed=8)
+    df = table(spark, sets, words=2)
+    found = similarity.top_per_query(df.filter("id % 4 = 0"), df, k, percent)
+    want = []
+    for q, a in enumerate(sets, 1):
+        if q % 4 == 0:
+            near = sorted((-by_tanimoto(a, b), h) for h, b in enumerate(sets, 1) if h != q and a | b and 100 * len(a & b) >= percent * len(a | b))
+            want += [(q, h, -s, at) for at, (s, h) in enumerate(near[:k], 1)]
+    assert sorted((r.q, r.h, r.sim, r.rank) for r in found.collect()) == sorted(want, key=lambda x: (x[0], x[1]))
+
+
+def test_blocks_yield_the_top_rows_only(spark):
+    """Of all pairs of two blocks k a query leave them, exactly the best, with fingerprints of 64 and of 2,560 bits."""
+    for words, k in ((2, 5), (80, 3)):
+        sets = [frozenset(random.Random(i).sample(range(32 * words), 14 * words)) for i in range(300)]
+        bits = [np.array([packed(s, words) for s in sets], np.uint32).tobytes(), np.array([len(s) for s in sets]).tobytes(), np.arange(300).tobytes()]
+        block = similarity.Block(0, bits[2], bits[1], bits[0])
+        got = [x for a, b, sim in similarity.most_similar(block, block, k, 0) for x in zip(a.tolist(), b.tolist(), sim.tolist())]
+        want = [(q, h, -s) for q, a in enumerate(sets) for s, h in sorted((-by_tanimoto(a, b), h) for h, b in enumerate(sets) if h != q)[:k]]
+        assert got == want
+
+
+def test_rows_meet_their_nearest_centre_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 90)
+    sets = dense(320, seed=8)
+    df = table(spark, sets, words=2)
+    got = similarity.assign_to_nearest(df.filter("id % 9 = 0"), df)
+    want = []
+    for h, b in enumerate(sets, 1):
+        near = min((-by_tanimoto(a, b), q) for q, a in enumerate(sets, 1) if q % 9 == 0 and (a or b)) if h % 9 else (-1.0, h)
+        want.append((h, near[1], -near[0]))
+    assert "band" not in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(similarity, "FEW_PAIRS", 0)
+    for found in (got, similarity.assign_to_nearest(df.filter("id % 9 = 0"), df)):
+        assert sorted((r.h, r.q, r.sim) for r in found.collect()) == want
