@@ -3,6 +3,7 @@
 import random
 import warnings
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from leadmill.llm import secrets
@@ -50,3 +51,27 @@ def test_too_few_findings_are_told(spark):
         warnings.simplefilter("always")
         assert secrets.train(docs, text_col="text") is None
     assert any("only the rules find" in str(w.message) for w in told)
+
+
+def test_all_windows_are_learnt_from_or_held_out(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD", 4000)
+    rows, *_ = rows_with_keys()
+    rows += [(5000 + i, t) for i, t in rows[:200]]
+    learnt = {x for _, text in rows if not secrets.is_held(text) for x in secrets.labelled(text)}
+    held = {x for _, text in rows if secrets.is_held(text) for x in secrets.labelled(text)} - learnt
+    asked, spools = [], {}
+    calibrate, spool = secrets.CharCnn.calibrate, secrets.spool
+
+    def counted(self, z, y, count, recall):
+        asked.append({k: count[y == k].sum() for k in (0, 1)})
+        calibrate(self, z, y, count, recall)
+
+    monkeypatch.setattr(secrets.CharCnn, "calibrate", counted)
+    monkeypatch.setattr(secrets, "spool", lambda df, tag: spools.setdefault(tag, spool(df, tag)))
+    model = secrets.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), text_col="text", sample_windows=1000)
+    shards = spools["shards"].filter("n > 0").select("n", "params").collect()
+    assert len(shards) > 2 and sum(x.n for x in shards) == len(learnt)
+    assert asked == [{k: sum(y == k for _, y in held) for k in (0, 1)}]
+    mean = sum(x.n * np.array(x.params) for x in shards) / len(learnt)
+    assert abs(mean - np.concatenate([model.params[k].ravel() for k in sorted(model.params)])).max() < 1e-9
+    assert model.recall >= 0.95 and model.false_alarms < 0.01
