@@ -54,7 +54,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
     scored = toxicity.score_toxicity(documents(spark, sf_dir), labels, fold(F.col("doc_id"), 5) != 0)
-    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "doc_ratio", "window_ratio", "top_ratio")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "doc_ratio", "window_ratio", "top_ratio", *toxicity.PAIR_COLUMNS)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

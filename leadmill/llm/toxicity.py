@@ -10,12 +10,14 @@ from both, up to a constant.
     p(w | class) = max(n(class, w) - d, 0) / n(class) + taken(class) / n(class) * shared(w)
 
 with n(class, w) the different words before w in the class, the start of each document being one of its own, and a
-discount d of two. A highest order of word pairs given the class was measured in several forms and lowers
-the area under the curve (README has the figures): most pairs of a text are rare, and the class that has seen more
-text knows more of them, toxic or not. It is left out.
+discount d of two. Above it stands the order of word pairs given the class, by how often they occur:
+
+    p(w | v, class) = max(n(class, v, w) - d, 0) / n(class, v) + left(class, v) * p(w | class)
+
+with left(class, v) what the discount takes after v. Where a class does not know v, and for a document's first word, the lower order stands alone.
 
 A document's log-likelihood ratio of both classes is normalised by length: over the whole text, over
-its most toxic window of 16 words, and over its three most toxic words. A logistic unit turns these into
+its most toxic window of 16 words, and over its three most toxic words, by the lower order and by that of pairs. A logistic unit turns these into
 a score; it is fitted on a bounded sample of labelled documents that gave no counts. All other labelled
 documents to learn from give counts, by exact different pairs of words. At the shared level different preceding words are
 estimated by bitmaps of 64 bins at 14 levels (exact pairs of the whole corpus would be more shuffle than the check
@@ -33,10 +35,11 @@ import re
 import uuid
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +57,12 @@ COUNT_SLICE = 1_000_000
 LEVELS = 14
 FULL = 56  # bins of 64
 TABLE_WORDS = 1_000_000  # of 16 bytes; beyond that a join
-FEATURES = "i long, m binary, x0 double, x1 double, x2 double"
+TABLE_PAIRS = 2_000_000  # the same of pairs
+KNOWN = 200_000  # words that a task knows at once
+SLOTS = 28  # bits of a slot of the filter of pairs
+PAIR_COLUMNS = ("pair_doc_ratio", "pair_window_ratio", "pair_top_ratio")
+N_FEATURES = 3 + len(PAIR_COLUMNS)
+FEATURES = "i long, m binary, " + ", ".join(f"x{k} double" for k in range(N_FEATURES))
 
 
 def word_hash(word: str) -> int:
@@ -81,6 +89,16 @@ def before(w: np.ndarray) -> np.ndarray:
     return np.concatenate([[FIRST], w[:-1]]) if len(w) else w
 
 
+def bits(v: np.ndarray) -> np.ndarray:
+    """31 bits of words."""
+    return v & np.int64(0xFFFFFFFE)
+
+
+def pair_keys(w: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Keys of pairs of a word and 31 bits of the one before."""
+    return w ^ v << np.int64(32)
+
+
 def level(h: np.ndarray) -> np.ndarray:
     """The level of each hash: k for a share of 3 / 4 ** (k + 1), the last for the rest."""
     rest = (h.view(np.uint64) >> np.uint64(6)).view(np.int64) | np.int64(1 << 2 * (LEVELS - 1))
@@ -123,17 +141,19 @@ def shared_counts(docs: DataFrame) -> DataFrame:
 
 
 def class_counts(docs: DataFrame) -> DataFrame:
-    """w, c0, c1 of the words of (t, y): the different words before it in ordinary (y = 0) and in toxic (1)
-    documents; each document's start is one."""
+    """w, c0, c1, t0, t1, kept of the words of (t, y): the different words before it in ordinary (y = 0) and in toxic (1)
+    documents, each document's start being one; how often a word comes after it there; and of the pairs of a class that occur more often than the
+    discount the word before (31 bits and the class) with their number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, held, size, nth = memo(), [], 0, TaskContext.get().partitionId() << 33
 
         def out() -> pd.DataFrame:
             w, v = (np.concatenate(x) for x in zip(*held))
-            at = np.unique(w ^ v * np.int64(-0x61C8864680B583EB), return_index=True)[1]
-            order = np.sort(at)
-            return pd.DataFrame({"w": w[order], "v": v[order]})
+            order = np.lexsort((v, w))  # equal words stand together in what is shuffled
+            w, v = w[order], v[order]
+            start = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (v[1:] != v[:-1])))
+            return pd.DataFrame({"w": w[start], "v": v[start], "n": np.diff(np.append(start, len(w)))})
 
         for batch in batches:
             for text, y in zip(batch["t"], batch["y"]):
@@ -141,7 +161,8 @@ def class_counts(docs: DataFrame) -> DataFrame:
                 if len(w := words(text, hashes)):
                     v = before(w)
                     v[0] = word_hash(str(nth))
-                    held.append((w, v & np.int64(0xFFFFFFFE) | np.int64(y)))  # 31 bits of the word before, and the class
+                    held.append((w, bits(v) | np.int64(y)))
+                    held.append((w[:-1], np.full(len(w) - 1, -1 - int(y))))  # as a word before others
                     size += len(w)
                 if size >= COUNT_SLICE:
                     yield out()
@@ -149,15 +170,19 @@ def class_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    pairs = map_texts(docs.select("t", F.col("y").cast("int").alias("y")), run, "w long, v long").distinct()
-    toxic = F.col("v").bitwiseAND(F.lit(1))
-    return pairs.groupBy("w").agg(F.sum(1 - toxic).alias("c0"), F.sum(toxic).alias("c1"))
+    pairs = map_texts(docs.select("t", F.col("y").cast("int").alias("y")), run, "w long, v long, n long").groupBy("w", "v").agg(F.sum("n").alias("n"))
+    pair, toxic, n = F.col("v") >= 0, F.col("v").bitwiseAND(F.lit(1)), F.col("n")
+    sums = {"c0": F.when(pair, 1 - toxic), "c1": F.when(pair, toxic), "t0": F.when(F.col("v") == -1, n), "t1": F.when(F.col("v") == -2, n), "n": n}
+    own = F.when(pair & (n > DISCOUNT), F.col("v")).alias("own")
+    rows = spool(pairs.groupBy("w", own).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in sums.items())), "classes")
+    kept = rows.filter("own is not null").groupBy("w").agg(F.collect_list(F.struct(F.col("own").alias("v"), "n")).alias("kept"))
+    return rows.groupBy("w").agg(*(F.sum(c).alias(c) for c in ("c0", "c1", "t0", "t1"))).join(kept, "w", "left")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """w, c0, c1, follows of the words of (t, y), where y may be null: as class_counts and shared_counts."""
+    """w, c0, c1, follows, t0, t1, kept of the words of (t, y), where y may be null: as class_counts and shared_counts."""
     both = shared_counts(docs).join(class_counts(docs.filter("y is not null")), "w", "left")
-    return both.select("w", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("c0", "c1")), "follows")
+    return both.select("w", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("c0", "c1")), "follows", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("t0", "t1")), "kept")
 
 
 def features(ratio: np.ndarray) -> list[float]:
@@ -170,23 +195,75 @@ def features(ratio: np.ndarray) -> list[float]:
     return [ratio.mean(), window, top]
 
 
-def by_table(text: DataFrame, ratios: DataFrame, default: float) -> DataFrame:
-    """i, m, x0, x1, x2: the features of the documents (i, m, t), by the words' ratios (w, ratio) as a
-    table that tasks hold; other words have the default."""
-    table = ratios.toPandas().sort_values("w")
-    keys, values = table["w"].to_numpy(np.int64), np.append(table["ratio"].to_numpy(float), default)
+def all_features(ratio: np.ndarray, back: np.ndarray, at: np.ndarray, own: np.ndarray) -> list[float]:
+    """The features of the words alone, then of pairs: a word's ratio and the backing off of the one before, or the pair's own ratio, at those places."""
+    pair = ratio.copy()
+    pair[1:] += back[:-1]
+    pair[at] = own
+    return features(ratio) + features(pair)
+
+
+def found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of `asked` are among the sorted keys, and where there."""
+    at = np.minimum(np.searchsorted(keys, asked), max(0, len(keys) - 1))
+    some = np.flatnonzero(keys[at] == asked) if len(keys) else at[:0]
+    return some, at[some]
+
+
+class Known(dict):
+    """Numbers of the words met, with their hashes, ratios and logarithms of backing off."""
+
+    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]], default: float):
+        self.tables, self.values = tables, np.empty((2, 1024))
+        self.values[:], self.default = 0.0, default
+        self.hashes = np.zeros(1024, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        n, h = len(self), np.int64(word_hash(word))
+        if n == len(self.hashes):
+            self.hashes, self.values = np.append(self.hashes, np.zeros_like(self.hashes)), np.hstack([self.values, np.zeros_like(self.values)])
+        self.hashes[n] = h
+        for k, ((keys, values), key, other) in enumerate(zip(self.tables, (h, h & np.int64(0xFFFFFFFE)), (self.default, 0.0))):
+            at = np.searchsorted(keys, key)
+            self.values[k, n] = values[at] if at < len(keys) and keys[at] == key else other
+        self[word] = n
+        return n
 
-    def ratio(word: str) -> float:
-        w = np.int64(word_hash(word))
-        at = np.searchsorted(keys, w)
-        return float(values[at if at < len(keys) and keys[at] == w else -1])
+
+def tables(model: Model) -> Broadcast:
+    """The model for tasks to hold: sorted keys and values of words, of backing off and of pairs, and the default. Sent out once, and not kept by the driver."""
+    out = []
+    for df in (model.ratios, model.backs, model.pairs):
+        got = df.toPandas()
+        key, value = (got[c].to_numpy(kind) for c, kind in zip(got.columns, (np.int64, float)))
+        del got
+        order = np.argsort(key)
+        out.append((key[order], value[order]))
+    return model.ratios.sparkSession.sparkContext.broadcast((*out, model.default))
+
+
+def by_table(text: DataFrame, model: Broadcast) -> DataFrame:
+    """i, m, x0 to x5: the features of the documents (i, m, t), by the model's tables, which tasks hold."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordMemo(ratio, 100_000)
+        *words, (keys, own), default = model.value
+        shift = np.int64(64 - max(10, len(keys).bit_length() + 3))  # by its first bits a key is mostly known not to be there
+        mask = np.int64((1 << 64 - int(shift)) - 1)
+        known, able = Known(words, default), np.zeros(int(mask) + 1, bool)
+        able[keys >> shift & mask] = True
         for batch in batches:
-            rows = [features(np.array(list(map(known.__getitem__, split(t))), float)) for t in batch["t"]]
-            x = np.array(rows).reshape(-1, 3)
-            yield pd.DataFrame({"i": batch["i"].astype("Int64"), "m": batch["m"], "x0": x[:, 0], "x1": x[:, 1], "x2": x[:, 2]})
+            rows = []
+            for t in batch["t"]:
+                n = np.array(list(map(known.__getitem__, split(t))), np.int64)
+                w, (ratio, back) = known.hashes[n], known.values[:, n]
+                asked = pair_keys(w[1:], bits(w[:-1]))
+                some = np.flatnonzero(able[asked >> shift & mask])
+                which, at = found(keys, asked[some])
+                rows.append(all_features(ratio, back, some[which] + 1, own[at]))
+                if len(known) > KNOWN:
+                    known = Known(words, default)
+            x = np.array(rows).reshape(-1, N_FEATURES)
+            yield pd.DataFrame({"i": batch["i"].astype("Int64"), "m": batch["m"], **{f"x{k}": x[:, k] for k in range(N_FEATURES)}})
 
     return map_texts(text.select("i", "m", "t"), run, FEATURES)
 
@@ -202,20 +279,44 @@ def unpacked(codes: bytes, width: int) -> np.ndarray:
     return out.view("<u4").ravel().astype(np.int64)
 
 
-def slices(text: DataFrame) -> DataFrame:
+def slots(pairs: DataFrame) -> np.ndarray:
+    """A filter of the keys of pairs: the bits of their slots."""
+    slot = F.col("key").bitwiseAND(F.lit((1 << SLOTS) - 1))
+    rows = pairs.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63 as int))")).alias("bits")).toPandas()
+    out = np.zeros(1 << SLOTS - 6, np.int64)
+    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return out
+
+
+def slices(text: DataFrame, able: np.ndarray) -> DataFrame:
     """The documents (i, m, t) in slices: for each different word of a slice a row (slice, w, code) with
-    width 0; for each document a row (slice, i, m) with the codes of its words, each of `width` bytes."""
+    width 0; for each different pair that the filter lets through a row (slice, w: its key, code, last: the code of the word before) with
+    width -1; for each document a row (slice, i, m) with the codes of its words, each of `width` bytes."""
+    able = text.sparkSession.sparkContext.broadcast(able)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, held, size = memo(), [], 0
 
+        def words_of(name: int, w: np.ndarray, code: np.ndarray, last, width: int) -> pd.DataFrame:
+            return pd.DataFrame({"slice": name, "w": w, "code": code, "last": last, "i": pd.array([pd.NA] * len(w), "Int64"), "m": None, "width": width, "codes": None})
+
         def out() -> Iterator[pd.DataFrame]:
             name = uuid.uuid4().int >> 65
+            lengths = [len(w) for _, _, w in held]
             own, code = np.unique(np.concatenate([w for _, _, w in held]), return_inverse=True)
             width = max(1, (len(own).bit_length() + 7) // 8)
-            yield pd.DataFrame({"slice": name, "w": own, "code": np.arange(len(own)), "i": pd.array([pd.NA] * len(own), "Int64"), "m": None, "width": 0, "codes": None})
-            parts = np.split(code, np.cumsum([len(w) for _, _, w in held])[:-1])
-            yield pd.DataFrame({"slice": name, "w": 0, "code": 0, "i": pd.array([i for i, _, _ in held], "Int64"), "m": [m for _, m, _ in held], "width": width, "codes": [packed(x, width) for x in parts]})
+            yield words_of(name, own, np.arange(len(own)), 0, 0)
+            inner = np.ones(len(code), bool)
+            inner[np.cumsum([0, *lengths[:-1]])[np.array(lengths) > 0]] = False  # first words of documents
+            inner = np.flatnonzero(inner)
+            both = np.unique(code[inner - 1] * len(own) + code[inner])
+            v, w = (both // max(1, len(own)), both % max(1, len(own)))
+            key = pair_keys(own[w], bits(own[v]))
+            slot = key & np.int64((1 << SLOTS) - 1)
+            some = (able.value[slot >> np.int64(6)] >> (slot & np.int64(63))) & np.int64(1) == 1
+            yield words_of(name, key[some], w[some], v[some], -1)
+            parts = np.split(code, np.cumsum(lengths)[:-1])
+            yield pd.DataFrame({"slice": name, "w": 0, "code": 0, "last": 0, "i": pd.array([i for i, _, _ in held], "Int64"), "m": [m for _, m, _ in held], "width": width, "codes": [packed(x, width) for x in parts]})
 
         for batch in batches:
             for i, m, t in zip(batch["i"].astype("Int64"), batch["m"], batch["t"]):
@@ -227,21 +328,43 @@ def slices(text: DataFrame) -> DataFrame:
         if held:
             yield from out()
 
-    return map_texts(text.select("i", "m", "t"), run, "slice long, w long, code int, i long, m binary, width int, codes binary")
+    return map_texts(text.select("i", "m", "t"), run, "slice long, w long, code int, last int, i long, m binary, width int, codes binary")
 
 
-def by_join(text: DataFrame, ratios: DataFrame, default: float) -> DataFrame:
-    """As by_table, for any number of words."""
+def by_join(text: DataFrame, model: Model) -> DataFrame:
+    """As by_table, for any number of words and pairs."""
+    default = model.default
 
     def run(known: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         codes = [unpacked(c, n) for c, n in zip(rows["codes"], rows["width"])]
-        values = np.full(max((int(c.max()) for c in codes if len(c)), default=0) + 1, default)
-        values[known["code"].to_numpy(np.int64)] = known["ratio"].to_numpy(float)
-        x = np.array([features(values[c]) for c in codes]).reshape(-1, 3)
-        return pd.DataFrame({"i": rows["i"].astype("Int64"), "m": rows["m"], "x0": x[:, 0], "x1": x[:, 1], "x2": x[:, 2]})
-
-    parts = spool(slices(text), "slices")
-    known = parts.filter("width = 0").select("slice", "code", "w").join(ratios, "w").select(F.col("slice").alias("of"), "code", "ratio")
+        size = max((int(c.max()) for c in codes if len(c)), default=0) + 1
+        ratios, backs, pairs = (known[known["kind"] == k] for k in range(3))
+        ratio, back = np.full(size, default), np.zeros(size)
+        for values, of in ((ratio, ratios), (back, backs)):
+            values[of["code"].to_numpy(np.int64)] = of["value"].to_numpy(float)
+        keys = pairs["last"].to_numpy(np.int64) * size + pairs["code"].to_numpy(np.int64)
+        order = np.argsort(keys)
+        keys, own = keys[order], pairs["value"].to_numpy(float)[order]
+        x = []
+        for c in codes:
+            which, at = found(keys, c[:-1] * size + c[1:])
+            x.append(all_features(ratio[c], back[c], which + 1, own[at]))
+        x = np.array(x).reshape(-1, N_FEATURES)
+        return pd.DataFrame({"i": rows["i"].astype("Int64"), "m": rows["m"], **{f"x{k}": x[:, k] for k in range(N_FEATURES)}})
+
+    parts = spool(slices(text, slots(model.pairs)), "slices")
+    own = parts.filter("width = 0")
+    ask = (
+        (own, "w", model.ratios),
+        (own.withColumn("w", F.col("w").bitwiseAND(F.lit(0xFFFFFFFE))), "v", model.backs),
+        (parts.filter("width = -1"), "key", model.pairs),
+    )
+    known = None
+    for kind, (rows, key, table) in enumerate(ask):
+        name, value = table.columns
+        got = rows.select("slice", "code", "last", "w").join(table.select(F.col(name).alias("w"), F.col(value).alias("value")), "w")
+        got = got.select(F.col("slice").alias("of"), "code", "last", F.lit(kind).alias("kind"), "value")
+        known = got if known is None else known.unionByName(got)
     rows = parts.filter("width > 0").select("slice", "i", "m", "width", "codes")
     return known.groupBy("of").cogroup(rows.groupBy("slice")).applyInPandas(run, FEATURES)
 
@@ -259,9 +382,19 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
     return w
 
 
-def word_level(counts: DataFrame) -> tuple[DataFrame, float] | None:
-    """w, ratio: log p(w | toxic) / p(w | ordinary) of all words beyond the discount in either class, and
-    that of all others; None without words of both classes."""
+class Model(NamedTuple):
+    """Log-ratios of the classes: (w, ratio) of words, that of all other words; (v, back) of backing off after a word (31 bits), else 0; (key, ratio)
+    of pairs."""
+
+    ratios: DataFrame
+    default: float
+    backs: DataFrame
+    pairs: DataFrame
+
+
+def word_level(counts: DataFrame) -> Model | None:
+    """log p(w | toxic) / p(w | ordinary) of all words beyond the discount in either class, and
+    that of all others; the same of pairs of words, and of backing off from them; None without words of both classes."""
     kinds = (("n", F.sum), ("taken", lambda c: F.sum(F.least(F.col(c), F.lit(DISCOUNT)))))
     t = counts.agg(F.sum("follows").alias("follows"), *(f(c).alias(f"{c}_{n}") for c in ("c0", "c1") for n, f in kinds)).first()
     n = [t["c0_n"] or 0, t["c1_n"] or 0]
@@ -270,12 +403,31 @@ def word_level(counts: DataFrame) -> tuple[DataFrame, float] | None:
     taken = [t[f"c{k}_taken"] / n[k] for k in (0, 1)]
     # Other words have no more than the shared level in either class, as unknown ones.
     kept = counts.filter((F.col("c0") > DISCOUNT) | (F.col("c1") > DISCOUNT))
-    p0, p1 = (F.greatest(F.col(f"c{k}") - DISCOUNT, F.lit(0)) / float(n[k]) + F.col("follows") * (taken[k] / t["follows"]) for k in (0, 1))
-    return kept.select("w", F.log(p1 / p0).alias("ratio")), float(np.log(taken[1] / taken[0]))
+    p = [F.greatest(F.col(f"c{k}") - DISCOUNT, F.lit(0)) / float(n[k]) + F.col("follows") * (taken[k] / t["follows"]) for k in (0, 1)]
+    return Model(kept.select("w", F.log(p[1] / p[0]).alias("ratio")), float(np.log(taken[1] / taken[0])), *pair_level(counts, p))
+
+
+def pair_level(counts: DataFrame, p: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(v, back) and (key, ratio) of the highest order: max(n(v, w) - d, 0) / n(v) + left(v) * p(w), where left(v) is what the discount takes after v, and p the
+    lower order of both classes. Pairs that no class has beyond the discount only back off."""
+    both = (0, 1)
+    pairs = counts.filter("kept is not null").select("w", *(p[k].alias(f"p{k}") for k in both), F.explode("kept").alias("x"))
+    pairs = pairs.select("w", "p0", "p1", F.col("x.v").bitwiseAND(F.lit(0xFFFFFFFE)).alias("v"), F.col("x.v").bitwiseAND(F.lit(1)).alias("y"), (F.col("x.n") - DISCOUNT).alias("more"))
+    more = [F.sum(F.when(F.col("y") == k, F.col("more")).otherwise(0)).alias(f"m{k}") for k in both]
+    pairs = spool(pairs.groupBy("w", "v").agg(*more, *(F.first(f"p{k}").alias(f"p{k}") for k in both)), "pairs")
+    over = pairs.groupBy("v").agg(*(F.sum(f"m{k}").alias(f"o{k}") for k in both))
+    seen = counts.filter("t0 + t1 > 0").groupBy(F.col("w").bitwiseAND(F.lit(0xFFFFFFFE)).alias("v")).agg(*(F.sum(f"t{k}").alias(f"t{k}") for k in both))
+    total = [F.greatest(f"t{k}", F.lit(1)) for k in both]
+    left = over.join(seen, "v").select("v", *(total[k].alias(f"t{k}") for k in both), *((1 - F.col(f"o{k}") / total[k]).alias(f"l{k}") for k in both))
+    left = spool(left, "left")
+    high = [F.col(f"m{k}") / F.col(f"t{k}") + F.col(f"l{k}") * F.col(f"p{k}") for k in both]
+    key = F.col("w").bitwiseXOR(F.shiftleft("v", 32))
+    own = spool(pairs.join(left, "v").select(key.alias("key"), F.log(high[1] / high[0]).alias("ratio")), "ratios")
+    return left.select("v", F.log(F.col("l1") / F.col("l0")).alias("back")), own
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from: Column, *, id_col: str, text_col: str, toxic_col: str, most: int, seed: int = 3, mark: Column | None = None) -> tuple[DataFrame, np.ndarray] | None:
-    """The features (i, m, x0, x1, x2) of all documents, where m is `mark`, by models of the labelled rows to
+    """The features (i, m, x0 to x5) of all documents, where m is `mark`, by models of the labelled rows to
     learn from, and the weights of the logistic unit; of every five labelled rows the fifth may go to
     the unit, which takes at most `most` rows of each class, those whose ids hash lowest. All others give counts. None without
     words of both labels."""
@@ -290,29 +442,30 @@ def train(docs: DataFrame, labels: DataFrame, learn_from: Column, *, id_col: str
     chosen = spark.createDataFrame(some[["i", "y"]], "i long, y int")  # at most 2 * most rows
     counted = one.join(F.broadcast(chosen.select("i")), "i", "left_anti").select("i", "y")
     counted = F.broadcast(counted) if counted.count() <= BROADCAST_IDS else counted
-    word = word_level(spool(word_counts(text.join(counted, "i", "left")), "words"))
-    if word is None:
+    model = word_level(spool(word_counts(text.join(counted, "i", "left")), "words"))
+    if model is None:
         return None
-    ratios, default = word
-    found = by_table if ratios.count() <= TABLE_WORDS else by_join
+    fits = model.ratios.count() <= TABLE_WORDS and model.pairs.count() <= TABLE_PAIRS
+    by, model = (by_table, tables(model)) if fits else (by_join, model)
     sample = text.join(F.broadcast(chosen.select("i")), "i", "left_semi")
-    got = found(sample, ratios, default).select("i", "x0", "x1", "x2").toPandas().merge(some[["i", "y"]], on="i")
-    weights = np.array([-4.0, 0.5, 0.5, 0.5])
+    x = [f"x{k}" for k in range(N_FEATURES)]
+    got = by(sample, model).select("i", *x).toPandas().merge(some[["i", "y"]], on="i")
+    weights = np.array([-4.0, 0.5, 0.5, 0.5, 0.0, 0.0, 0.0])
     # The sample holds the classes in other shares than the labels do: rows weigh accordingly.
     if got["y"].nunique() == 2:
         y = got["y"].to_numpy(float)
         share = np.array([sizes[k] / (y == k).sum() for k in (0, 1)])
-        weights = fit_logistic(got[["x0", "x1", "x2"]].to_numpy(float), y, share[y.astype(int)])
-    return found(text, ratios, default), weights
+        weights = fit_logistic(got[x].to_numpy(float), y, share[y.astype(int)])
+    return by(text, model), weights
 
 
 def score(weights: np.ndarray) -> Column:
-    z = sum((F.col(f"x{k}") * float(weights[k + 1]) for k in range(3)), F.lit(float(weights[0])))
+    z = sum((F.col(f"x{k}") * float(weights[k + 1]) for k in range(N_FEATURES)), F.lit(float(weights[0])))
     return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, *, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", most: int = 3000) -> DataFrame:
-    """Per row: id, score (0 to 1), predicted (1 from one half on), doc_ratio, window_ratio, top_ratio.
+    """Per row: id, score (0 to 1), predicted (1 from one half on), doc_ratio, window_ratio, top_ratio, and the same of pairs of words.
 
     `learn_from` is a condition on the rows of `labels`; labels that are null or neither 0 nor 1 are
     left out, and a row labelled both ways counts as toxic. A null or empty text has no ratio: it
@@ -323,10 +476,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: Column, *, id
     model = train(docs, labels, learn_from, id_col=id_col, text_col=text_col, toxic_col=toxic_col, most=most)
     if model is None:
         zero = F.lit(0.0)
-        return docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), zero.alias("score"), F.lit(0).alias("predicted"), zero.alias("doc_ratio"), zero.alias("window_ratio"), zero.alias("top_ratio"))
+        return docs.select(F.col(f"`{id_col}`").cast("long").alias(id_col), zero.alias("score"), F.lit(0).alias("predicted"), zero.alias("doc_ratio"), zero.alias("window_ratio"), zero.alias("top_ratio"), *(zero.alias(c) for c in PAIR_COLUMNS))
     found, weights = model
     scored = found.withColumn("score", score(weights))
-    return scored.select(F.col("i").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("x0").alias("doc_ratio"), F.col("x1").alias("window_ratio"), F.col("x2").alias("top_ratio"))
+    return scored.select(F.col("i").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.col("x0").alias("doc_ratio"), F.col("x1").alias("window_ratio"), F.col("x2").alias("top_ratio"), *(F.col(f"x{k}").alias(c) for k, c in enumerate(PAIR_COLUMNS, 3)))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, learn_from: Column, *, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", most: int = 3000) -> DataFrame:

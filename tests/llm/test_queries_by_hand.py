@@ -1,12 +1,13 @@
 """Whole results of the registered queries against plain Python over the same table."""
 
+import functools
 import hashlib
 import math
 import random
 import re
 import string
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
@@ -162,3 +163,55 @@ def test_more_languages_than_a_task_may_hold(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
     with pytest.raises(ValueError):
         langid.identify(docs, F.lit(True))
+
+
+def test_op8_pairs_are_those_of_the_models(spark, data, monkeypatch):
+    """The order of word pairs given the class, recomputed in plain Python above the lower order, by the table and by the join."""
+    given = {}
+    plain = toxicity.word_counts
+
+    def spy(docs):
+        given["docs"] = docs.filter("y is not null").select("t", "y").collect()
+        given["words"] = {r.w: r for r in plain(docs).collect()}
+        return plain(docs)
+
+    monkeypatch.setattr(toxicity, "word_counts", spy)
+    got = {x.doc_id: x for x in QUERIES["op8_toxicity"](spark, data).collect()}
+    pairs, after = [Counter(), Counter()], [defaultdict(Counter), defaultdict(Counter)]
+    for r in given["docs"]:
+        words = toxicity.split(r.t)
+        for v, w in zip(words, words[1:]):
+            pairs[int(r.y)][v, w] += 1
+            after[int(r.y)][v][w] += 1
+    d, every = toxicity.DISCOUNT, sum(r.follows for r in given["words"].values())
+    total, taken = ([sum(f(r[f"c{k}"]) for r in given["words"].values()) for k in (0, 1)] for f in (lambda c: c, lambda c: min(c, d)))
+
+    @functools.cache
+    def low(k, w):
+        r = given["words"][toxicity.word_hash(w)]
+        return max(r[f"c{k}"] - d, 0) / total[k] + taken[k] / total[k] * r.follows / every
+
+    @functools.cache
+    def high(k, v, w):
+        if v not in after[k]:
+            return low(k, w)
+        n = sum(after[k][v].values())
+        return max(pairs[k][v, w] - d, 0) / n + sum(min(c, d) for c in after[k][v].values()) / n * low(k, w)
+
+    assert sum(c > d for k in (0, 1) for c in pairs[k].values()) > 100
+    apart = 0
+    for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect():
+        words = toxicity.split(r.text)
+        p = [[low(k, w) if at == 0 else high(k, words[at - 1], w) for at, w in enumerate(words)] for k in (0, 1)]
+        ratio = [math.log(b / a) for a, b in zip(*p)]
+        x = got[r.doc_id]
+        assert x.pair_doc_ratio == pytest.approx(sum(ratio) / len(ratio) if ratio else 0.0, abs=1e-9)
+        if len(ratio) >= 16:
+            assert x.pair_window_ratio == pytest.approx(max(sum(ratio[k : k + 16]) for k in range(len(ratio) - 15)) / 16, abs=1e-9)
+        assert x.pair_top_ratio == pytest.approx(sum(sorted(ratio)[-3:]) / 3 if ratio else 0.0, abs=1e-9)
+        apart += abs(x.pair_doc_ratio - x.doc_ratio) > 1e-6
+    assert apart > 100
+    monkeypatch.setattr(toxicity, "TABLE_PAIRS", 0)
+    monkeypatch.setattr(toxicity, "COUNT_SLICE", 20_000)
+    joined = {x.doc_id: x for x in QUERIES["op8_toxicity"](spark, data).collect()}
+    assert all(joined[i][c] == pytest.approx(got[i][c], abs=1e-9) for i in got for c in (*toxicity.PAIR_COLUMNS, "doc_ratio", "score"))
