@@ -231,14 +231,21 @@ class Known(dict):
 
 
 def tables(model: Model) -> Broadcast:
-    """The model for tasks to hold: sorted keys and values of words, of backing off and of pairs, and the default. Sent out once, and not kept by the driver."""
+    """The model for tasks to hold: sorted keys and values of words, of backing off and of pairs, and the default. It reaches the driver in packed rows, is sent
+    out once, and is not kept there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"keys": [batch["k"].to_numpy(np.int64).tobytes()], "held": [batch["x"].to_numpy(float).tobytes()]})
+
     out = []
     for df in (model.ratios, model.backs, model.pairs):
-        got = df.toPandas()
-        key, value = (got[c].to_numpy(kind) for c, kind in zip(got.columns, (np.int64, float)))
-        del got
-        order = np.argsort(key)
-        out.append((key[order], value[order]))
+        key, value = df.columns
+        rows = map_texts(df.select(F.col(key).alias("k"), F.col(value).alias("x")), run, "keys binary, held binary").collect()
+        keys, values = (np.frombuffer(b"".join(r[c] for r in rows), kind) for c, kind in (("keys", np.int64), ("held", float)))
+        del rows
+        order = np.argsort(keys)
+        out.append((keys[order], values[order]))
     return model.ratios.sparkSession.sparkContext.broadcast((*out, model.default))
 
 
