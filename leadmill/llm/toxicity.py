@@ -31,19 +31,20 @@ come back to the slices. Either way every word beyond the discount has its own r
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
-from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pandas.util import hash_array
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_words import WordMemo
 from .common import map_texts, spool
 from .linedup import small
 
@@ -59,19 +60,37 @@ FULL = 56  # bins of 64
 TABLE_WORDS = 1_000_000  # of 16 bytes; beyond that a join
 TABLE_PAIRS = 2_000_000  # the same of pairs
 KNOWN = 200_000  # words that a task knows at once
+SCORE_SLICE = 100_000
 SLOTS = 28  # bits of a slot of the filter of pairs
 PAIR_COLUMNS = ("pair_doc_ratio", "pair_window_ratio", "pair_top_ratio")
 N_FEATURES = 3 + len(PAIR_COLUMNS)
 FEATURES = "i long, m binary, " + ", ".join(f"x{k} double" for k in range(N_FEATURES))
 
 
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes (SipHash) of words."""
+    return hash_array(np.array(words, object), categorize=False).view(np.int64) if words else np.zeros(0, np.int64)
+
+
 def word_hash(word: str) -> int:
-    return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+    return int(word_hashes([word])[0])
+
+
+class Words:
+    """Numbers of the words met, from 0, and their hashes, for which all new words are taken at once."""
 
+    def __init__(self):
+        self.of, self.hashes = defaultdict(itertools.count().__next__), np.zeros(0, np.int64)
 
-def memo() -> WordMemo:
-    """Hashes of the words met; each task has its own, so that none outlives its stage."""
-    return WordMemo(word_hash, 100_000)
+    def numbers(self, text: str | None) -> np.ndarray:
+        words = split(text)
+        return np.fromiter(map(self.of.__getitem__, words), np.int32, len(words))
+
+    def settle(self) -> np.ndarray:
+        """The hashes of the words met since the last time."""
+        new = word_hashes(list(itertools.islice(self.of, len(self.hashes), None)))
+        self.hashes = np.concatenate([self.hashes, new])
+        return new
 
 
 def split(text: str | None) -> list[str]:
@@ -79,14 +98,18 @@ def split(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def words(text: str | None, hashes: WordMemo) -> np.ndarray:
-    """64-bit hashes of the words."""
-    return np.array(list(map(hashes.__getitem__, split(text))), np.int64)
+def joined(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts the words in turn, the texts' lengths, and the places of first words."""
+    lengths = np.array(list(map(len, held)), np.int64)
+    return np.concatenate(held).astype(np.int64), lengths, (np.cumsum(lengths) - lengths)[lengths > 0]
 
 
-def before(w: np.ndarray) -> np.ndarray:
-    """The word before each word."""
-    return np.concatenate([[FIRST], w[:-1]]) if len(w) else w
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in order, and the place of each there."""
+    order = np.argsort(keys)
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys))
+    return keys[order], rank
 
 
 def bits(v: np.ndarray) -> np.ndarray:
@@ -110,27 +133,31 @@ def shared_counts(docs: DataFrame) -> DataFrame:
     seen = [f"seen{k}" for k in range(LEVELS)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, held, size = memo(), [], 0
+        met, held, size = Words(), [], 0
 
         def out() -> pd.DataFrame:
-            key, kind = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(key, kind="stable")
-            key, kind = key[order], kind[order]
+            met.settle()
+            keys, rank = ranked(met.hashes)
+            w, _, starts = joined(held)
+            last = np.append(met.hashes, FIRST)
+            kinds = (last & np.int64(63)) | (level(last) << np.int64(6))
+            v = np.append(np.int64(len(keys)), w[:-1])
+            v[starts] = len(keys)
+            code = np.unique(rank[w] << np.int64(10) | kinds[v])  # different ones, by word
+            key, kind = code >> np.int64(10), code & np.int64(1023)
             start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             place, at = np.int64(1) << (kind & np.int64(63)), kind >> np.int64(6)
             bins = {n: np.bitwise_or.reduceat(np.where(at == k, place, np.int64(0)), start) for k, n in enumerate(seen)}
-            return pd.DataFrame({"w": key[start], **bins})
+            return pd.DataFrame({"w": keys[key[start]], **bins})
 
         for batch in batches:
             for text in batch["t"]:
-                if len(w := words(text, hashes)):
-                    v = before(w)
-                    held.append((w, (v & np.int64(63)) | (level(v) << np.int64(6))))
-                    size += len(w)
+                held.append(met.numbers(text))
+                size += len(held[-1])
                 if size >= COUNT_SLICE:
                     yield out()
-                    held, size = [], 0
-        if held:
+                    met, held, size = Words(), [], 0
+        if size:
             yield out()
 
     rows = map_texts(docs.select("t"), run, f"w long, {', '.join(f'{n} long' for n in seen)}")
@@ -146,28 +173,37 @@ def class_counts(docs: DataFrame) -> DataFrame:
     discount the word before (31 bits and the class) with their number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, held, size, nth = memo(), [], 0, TaskContext.get().partitionId() << 33
+        met, held, kinds, names, size, nth = Words(), [], [], [], 0, TaskContext.get().partitionId() << 33
 
         def out() -> pd.DataFrame:
-            w, v = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((v, w))  # equal words stand together in what is shuffled
-            w, v = w[order], v[order]
-            start = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (v[1:] != v[:-1])))
-            return pd.DataFrame({"w": w[start], "v": v[start], "n": np.diff(np.append(start, len(w)))})
+            met.settle()
+            keys, rank = ranked(met.hashes)
+            lasts, last = ranked(bits(met.hashes))
+            n, lengths, starts = joined(held)
+            w, y = rank[n], np.repeat(np.array(kinds, np.int64), lengths)
+            v = np.append(np.int64(0), last[n[:-1]]) + 1
+            v[starts] = len(keys) + 1 + np.arange(len(starts))
+            inner = np.ones(len(w), bool)
+            inner[np.append(starts[1:], len(w)) - 1] = False  # all but last words stand before others: 0
+            most = np.int64(len(keys) + len(starts) + 1)
+            code = np.concatenate([(w * most + v) << np.int64(1) | y, (w[inner] * most) << np.int64(1) | y[inner]])
+            code, number = np.unique(code, return_counts=True)  # equal words stand together in what is shuffled
+            pair, y = code >> np.int64(1), code & np.int64(1)
+            own = bits(word_hashes([x for x, m in zip(names, lengths) if m]))
+            v = np.concatenate([[0], lasts, own])[pair % most]
+            return pd.DataFrame({"w": keys[pair // most], "v": np.where(pair % most == 0, -1 - y, v | y), "n": number})
 
         for batch in batches:
             for text, y in zip(batch["t"], batch["y"]):
                 nth += 1
-                if len(w := words(text, hashes)):
-                    v = before(w)
-                    v[0] = word_hash(str(nth))
-                    held.append((w, bits(v) | np.int64(y)))
-                    held.append((w[:-1], np.full(len(w) - 1, -1 - int(y))))  # as a word before others
-                    size += len(w)
+                held.append(met.numbers(text))
+                kinds.append(y)
+                names.append(str(nth))
+                size += len(held[-1])
                 if size >= COUNT_SLICE:
                     yield out()
-                    held, size = [], 0
-        if held:
+                    met, held, kinds, names, size = Words(), [], [], [], 0
+        if size:
             yield out()
 
     pairs = map_texts(docs.select("t", F.col("y").cast("int").alias("y")), run, "w long, v long, n long").groupBy("w", "v").agg(F.sum("n").alias("n"))
@@ -210,26 +246,6 @@ def found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return some, at[some]
 
 
-class Known(dict):
-    """Numbers of the words met, with their hashes, ratios and logarithms of backing off."""
-
-    def __init__(self, tables: list[tuple[np.ndarray, np.ndarray]], default: float):
-        self.tables, self.values = tables, np.empty((2, 1024))
-        self.values[:], self.default = 0.0, default
-        self.hashes = np.zeros(1024, np.int64)
-
-    def __missing__(self, word: str) -> int:
-        n, h = len(self), np.int64(word_hash(word))
-        if n == len(self.hashes):
-            self.hashes, self.values = np.append(self.hashes, np.zeros_like(self.hashes)), np.hstack([self.values, np.zeros_like(self.values)])
-        self.hashes[n] = h
-        for k, ((keys, values), key, other) in enumerate(zip(self.tables, (h, h & np.int64(0xFFFFFFFE)), (self.default, 0.0))):
-            at = np.searchsorted(keys, key)
-            self.values[k, n] = values[at] if at < len(keys) and keys[at] == key else other
-        self[word] = n
-        return n
-
-
 def tables(model: Model) -> Broadcast:
     """The model for tasks to hold: sorted keys and values of words, of backing off and of pairs, and the default. It reaches the driver in packed rows, is sent
     out once, and is not kept there."""
@@ -256,20 +272,46 @@ def by_table(text: DataFrame, model: Broadcast) -> DataFrame:
         *words, (keys, own), default = model.value
         shift = np.int64(64 - max(10, len(keys).bit_length() + 3))  # by its first bits a key is mostly known not to be there
         mask = np.int64((1 << 64 - int(shift)) - 1)
-        known, able = Known(words, default), np.zeros(int(mask) + 1, bool)
+        able = np.zeros(int(mask) + 1, bool)
         able[keys >> shift & mask] = True
+        met, values, held, rows = Words(), np.zeros((2, 0)), [], []
+
+        def valued(h: np.ndarray) -> np.ndarray:
+            """The ratio and the backing off of new words."""
+            out = np.stack([np.full(len(h), default), np.zeros(len(h))])
+            for x, (of, value), key in zip(out, words, (h, h & np.int64(0xFFFFFFFE))):
+                some, at = found(of, key)
+                x[some] = value[at]
+            return out
+
+        def settle() -> None:
+            nonlocal values
+            values = np.hstack([values, valued(met.settle())])
+            n, lengths, starts = joined(held)
+            w, (ratio, back) = met.hashes[n], values[:, n]
+            asked = pair_keys(w[1:], bits(w[:-1]))
+            some = np.flatnonzero(able[asked >> shift & mask])
+            which, at = found(keys, asked[some])
+            pair = ratio.copy()
+            pair[1:] += back[:-1]
+            pair[some[which] + 1] = own[at]
+            pair[starts] = ratio[starts]  # no word stands before
+            for b, length in zip(np.cumsum(lengths), lengths):
+                rows.append(features(ratio[b - length : b]) + features(pair[b - length : b]))
+
         for batch in batches:
-            rows = []
-            for t in batch["t"]:
-                n = np.array(list(map(known.__getitem__, split(t))), np.int64)
-                w, (ratio, back) = known.hashes[n], known.values[:, n]
-                asked = pair_keys(w[1:], bits(w[:-1]))
-                some = np.flatnonzero(able[asked >> shift & mask])
-                which, at = found(keys, asked[some])
-                rows.append(all_features(ratio, back, some[which] + 1, own[at]))
-                if len(known) > KNOWN:
-                    known = Known(words, default)
+            size, last = 0, len(batch) - 1
+            for nth, t in enumerate(batch["t"]):
+                held.append(met.numbers(t))
+                size += len(held[-1])
+                if size >= SCORE_SLICE or nth == last:
+                    settle()
+                    held.clear()
+                    size = 0
+                    if len(met.of) > KNOWN:
+                        met, values = Words(), np.zeros((2, 0))
             x = np.array(rows).reshape(-1, N_FEATURES)
+            rows.clear()
             yield pd.DataFrame({"i": batch["i"].astype("Int64"), "m": batch["m"], **{f"x{k}": x[:, k] for k in range(N_FEATURES)}})
 
     return map_texts(text.select("i", "m", "t"), run, FEATURES)
@@ -302,7 +344,7 @@ def slices(text: DataFrame, able: np.ndarray) -> DataFrame:
     able = text.sparkSession.sparkContext.broadcast(able)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, held, size = memo(), [], 0
+        held, size = [], 0
 
         def words_of(name: int, w: np.ndarray, code: np.ndarray, last, width: int) -> pd.DataFrame:
             return pd.DataFrame({"slice": name, "w": w, "code": code, "last": last, "i": pd.array([pd.NA] * len(w), "Int64"), "m": None, "width": width, "codes": None})
@@ -327,7 +369,7 @@ def slices(text: DataFrame, able: np.ndarray) -> DataFrame:
 
         for batch in batches:
             for i, m, t in zip(batch["i"].astype("Int64"), batch["m"], batch["t"]):
-                held.append((i, m, words(t, hashes)))
+                held.append((i, m, word_hashes(split(t))))
                 size += len(held[-1][2]) + 1
                 if size >= COUNT_SLICE:
                     yield from out()
