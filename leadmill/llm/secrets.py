@@ -41,6 +41,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}")
+PART, WHOLE = re.compile(r"\S{8,}"), 1_000_000  # texts beyond are not split at once
+LETTERS = re.compile(r"[^\W\d_]+")
 ALPHABETS = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
@@ -61,25 +63,38 @@ FEW = 1000  # windows of a label below which a shard takes those of the first fi
 GRID = 1024  # steps of one in which outputs of held-out windows are counted
 
 
-def rule_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the rules' findings, by start, then kind as listed."""
-    spans = []
+def parts(text: str) -> list[tuple[int, str]]:
+    """What stands between white space, from eight characters on, with its start: keys and long words have none inside, so most of a text is
+    not looked at again."""
+    if len(text) > WHOLE:
+        return [(m.start(), m[0]) for m in PART.finditer(text)]
+    out, at = [], 0
+    for part in [p for p in text.split() if len(p) >= 8]:
+        at = text.find(part, at)  # first after the long part before, as it could only lie within one
+        out.append((at, part))
+        at += len(part)
+    return out
+
+
+def rule_spans(text: str, among: list[tuple[int, str]] | None = None) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the rules' findings, by start, then kind as listed; `among` are the text's parts."""
+    spans, among = [], parts(text) if among is None else among
     lower = text.lower()
     if any(w in lower for w in ASSIGN_WORDS):
         spans += [(*m.span(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
         spans += [(*m.span(), "access") for m in ACCESS.finditer(text)]
-    spans += [(*m.span(), "hex") for m in HEX.finditer(text)]
+    spans += [(*m.span(), "hex") for at, part in among if len(part) >= 32 for m in HEX.finditer(text, at, at + len(part))]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Runs that overlap no rule finding."""
+def candidates(text: str, spans: list[tuple[int, int, str]], among: list[tuple[int, str]] | None = None) -> list[tuple[int, int]]:
+    """Runs that overlap no rule finding; `among` are the text's parts."""
     out, at = [], 0
     ends = np.maximum.accumulate([e for _, e, _ in spans]) if spans else []
     starts = [s for s, _, _ in spans]
-    for m in RUN.finditer(text):
-        a, b = m.span()
+    among = parts(text) if among is None else among
+    for a, b in (m.span() for begin, part in among if len(part) >= 16 for m in RUN.finditer(text, begin, begin + len(part))):
         while at < len(starts) and starts[at] < b:
             at += 1
         if at == 0 or ends[at - 1] <= a:
@@ -132,9 +147,11 @@ class CharCnn:
         """row, place, filter: the convolution, each code's part in each tap looked up."""
         p, out = self.params, WIDTH - self.span + 1
         parts = np.einsum("cd,tdf->tcf", p["e"], p["k"].reshape(self.span, self.dim, self.filters))
-        h = np.take(parts[0], x[:, :out], axis=0)
+        x = np.asarray(x, np.intp)  # once for all taps
+        h = np.take(parts[0], x[:, :out], axis=0, mode="clip")
+        more = np.empty_like(h)
         for tap in range(1, self.span):
-            h += np.take(parts[tap], x[:, tap : tap + out], axis=0)
+            h += np.take(parts[tap], x[:, tap : tap + out], axis=0, out=more, mode="clip")
         return h
 
     def forward(self, x: np.ndarray, keep: bool = False):
@@ -257,7 +274,8 @@ def labelled(text: str) -> Iterator[tuple[str, int]]:
     """Windows of a text with labels, each also without its surroundings: rule findings (as they stand, and
     spelled anew amid what stands around them) are secrets; other candidates that are plain, each eighth long word, and such words in capitals run
     together or with their lengths as digits, are not. Other candidates may be secrets that no rule names: they have no label."""
-    spans = rule_spans(text)
+    among = parts(text)
+    spans = rule_spans(text, among)
     for start, b, kind in spans:
         a = ASSIGN.match(text, start).start(2) if kind == "assign" else start
         for w in windows(text, a, b):
@@ -271,26 +289,27 @@ def labelled(text: str) -> Iterator[tuple[str, int]]:
             w = windows(before + key + after, len(before), len(before) + len(key))[0]
             yield w, 1
             yield bare(w), 1
-    for a, b in candidates(text, spans):
+    for a, b in candidates(text, spans, among):
         if plain(text[a:b]):
             for w in windows(text, a, b):
                 yield w, 0
                 yield bare(w), 0
-    last = ""
-    for n, m in enumerate(re.finditer(r"(?<!\S)[^\W\d_]{8,64}(?!\S)", text)):
+    last, long = "", ((at, part) for at, part in among if len(part) <= 64 and (part.isalpha() or LETTERS.fullmatch(part)))
+    for n, (at, word) in enumerate(long):
         if n % 8 == 0:
-            w = windows(text, *m.span())[0]
+            end = at + len(word)
+            w = windows(text, at, end)[0]
             yield w, 0
             yield bare(w), 0
             # Forms that prose takes in headings and tables.
-            before, after = text[max(0, m.start() - CONTEXT) : m.start()], text[m.end() : m.end() + CONTEXT]
-            loud = (m[0] + last).upper()[:BODY] + ".,;:"[n // 8 % 4] * (n // 32 % 2)
-            number = str(zlib.crc32(m[0].encode()) ** 3)[: 16 + n // 8 % 12]
+            before, after = text[max(0, at - CONTEXT) : at], text[end : end + CONTEXT]
+            loud = (word + last).upper()[:BODY] + ".,;:"[n // 8 % 4] * (n // 32 % 2)
+            number = str(zlib.crc32(word.encode()) ** 3)[: 16 + n // 8 % 12]
             for form in (loud, number):
                 w = windows(before + form + after, len(before), len(before) + len(form))[0]
                 yield w, 0
                 yield bare(w), 0
-        last = m[0]
+        last = word
 
 
 def lowest(found: dict[tuple[str, int], tuple[int, bool]], most: int) -> dict[tuple[str, int], tuple[int, bool]]:
@@ -483,7 +502,7 @@ def train(docs: DataFrame, *, text_col: str, sample_windows: int = 20_000, recal
     return model
 
 
-def scored(texts: list[str], spans: list[list[tuple[int, int, str]]], model: CharCnn | None) -> tuple[list[list[float]], list[list[tuple[int, int, float]]]]:
+def scored(texts: list[str], spans: list[list[tuple[int, int, str]]], model: CharCnn | None, among: list[list[tuple[int, str]]] | None = None) -> tuple[list[list[float]], list[list[tuple[int, int, float]]]]:
     """For each text the scores of its rule findings, and the other candidates that the network takes for
     secrets with theirs."""
     of_rules: list[list[float]] = [[0.0] * len(s) for s in spans]
@@ -506,8 +525,9 @@ def scored(texts: list[str], spans: list[list[tuple[int, int, str]]], model: Cha
         whose.clear()
 
     for i, text in enumerate(texts):
+        own = parts(text) if among is None else among[i]
         rules = ((n, ASSIGN.match(text, a).start(2) if k == "assign" else a, b) for n, (a, b, k) in enumerate(spans[i]))
-        for n, a, b in [*rules, *((-1, a, b) for a, b in candidates(text, spans[i]))]:
+        for n, a, b in [*rules, *((-1, a, b) for a, b in candidates(text, spans[i], own))]:
             w = windows(text, a, b)
             held += w
             whose += [(i, n, a, b)] * len(w)
@@ -533,9 +553,10 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch["t"].tolist()
-            spans = [rule_spans(t) for t in texts]
+            among = [parts(t) for t in texts]
+            spans = list(map(rule_spans, texts, among))
             rows = []
-            for mine, own, more in zip(spans, *scored(texts, spans, model)):
+            for mine, own, more in zip(spans, *scored(texts, spans, model, among)):
                 base = ",".join(f"{k}:{a}:{b}" for a, b, k in mine)
                 every = [(a, b, k, s) for (a, b, k), s in zip(mine, own)] + [(a, b, "model", s) for a, b, s in more]
                 every.sort(key=lambda s: (s[0], (*KINDS, "model").index(s[2])))
@@ -558,9 +579,10 @@ def redact_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def clean(column: pd.Series) -> pd.Series:
         texts = [t if isinstance(t, str) else "" for t in column]
-        spans = [rule_spans(t) for t in texts]
+        among = [parts(t) for t in texts]
+        spans = list(map(rule_spans, texts, among))
         out = []
-        for old, text, mine, more in zip(column, texts, spans, scored(texts, spans, model)[1]):
+        for old, text, mine, more in zip(column, texts, spans, scored(texts, spans, model, among)[1]):
             cuts = [(ASSIGN.match(text, a).start(2) if k == "assign" else a, b) for a, b, k in mine] + [(a, b) for a, b, _ in more]
             parts, at = [], 0
             for a, b in sorted(cuts):
