@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
@@ -34,12 +35,30 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
-def map_texts(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What `make` gives, which a worker keeps from task to task under this key, until a task of `map_texts` keeps something else or nothing."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go(keep: Hashable) -> None:
+    """Drops what is kept under another key. (By its name in this module, so that a task meets its worker's own.)"""
+    if any(key != keep for key in _KEPT):
+        _KEPT.clear()
+
+
+def map_texts(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, keep: Hashable = None) -> DataFrame:
     """df.mapInPandas(run, schema), in batches of bounded size either way: what a task holds does not follow the length
-    of texts, and what it has held goes back when it ends, as its worker stays for later stages."""
+    of texts, and what it has held goes back when it ends, as its worker stays for later stages. Of what is `kept` only that of the key `keep` stays."""
     small_batches(df.sparkSession)
 
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go(keep)
         for out in run(batches):
             for at in range(0, len(out), BATCH_ROWS):
                 yield out.iloc[at : at + BATCH_ROWS]

@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_words import ByteBpe
-from .common import map_texts
+from .common import kept, map_texts
 
 ID_SHIFT = 40
 END_ID = 1
@@ -162,11 +161,6 @@ def numbered(sequences: Iterable[list[Piece]], with_ids: bool) -> Iterator[pd.Da
 ROW = "id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, loss_tokens long"
 
 
-@lru_cache(maxsize=1)
-def byte_bpe(path: str, ranks_path: str | None, pattern: str | None) -> ByteBpe:
-    return ByteBpe(path, ranks_path, pattern)
-
-
 def pack_documents(docs: DataFrame, tokenizer_path: str, *, ranks_path: str | None = None, pattern: str | None = None, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Packs whole texts, cut freely, into sequences; one row per piece.
 
@@ -180,8 +174,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, ranks_path: str | No
     full sequences and one rest, whatever its length.
     """
 
+    key = ("packing", tokenizer_path, ranks_path, pattern)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = byte_bpe(tokenizer_path, ranks_path, pattern)
+        bpe = kept(key, lambda: ByteBpe(*key[1:]))
         end = END_ID.to_bytes(4, "little")
 
         def pieces():
@@ -195,7 +191,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, ranks_path: str | No
         yield from numbered(pack(pieces(), limits, cut=True), with_ids=True)
 
     source = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    return map_texts(source, run, f"{ROW}, ids_crc32 long").withColumnRenamed("id", id_col)
+    return map_texts(source, run, f"{ROW}, ids_crc32 long", keep=key).withColumnRenamed("id", id_col)
 
 
 def pack_examples(examples: DataFrame, limits: Limits = Limits(), *, id_col: str = "example_id", tokens_col: str = "tokens", loss_col: str = "loss_tokens") -> DataFrame:
