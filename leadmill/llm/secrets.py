@@ -584,12 +584,12 @@ def redact_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         out = []
         for old, text, mine, more in zip(column, texts, spans, scored(texts, spans, model, among)[1]):
             cuts = [(ASSIGN.match(text, a).start(2) if k == "assign" else a, b) for a, b, k in mine] + [(a, b) for a, b, _ in more]
-            parts, at = [], 0
+            rest, at = [], 0
             for a, b in sorted(cuts):
                 if a >= at:
-                    parts += [text[at:a], mask]
+                    rest += [text[at:a], mask]
                 at = max(at, b)
-            out.append("".join([*parts, text[at:]]) if cuts else old)
+            out.append("".join([*rest, text[at:]]) if cuts else old)
         return pd.Series(out, dtype=object)
 
     small_batches(docs.sparkSession)

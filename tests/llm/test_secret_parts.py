@@ -43,3 +43,11 @@ def test_prose_is_not_searched_for_keys(monkeypatch):
         monkeypatch.setattr(secrets, name, Spy(getattr(secrets, name)))
     assert list(secrets.labelled("some words of ordinary length and 0123456789abcdef0123456789abcdef\n" * 50))
     assert sum(looked) == 2 * 32 * 50
+
+
+@pytest.mark.filterwarnings("ignore:fewer than")
+def test_masks_what_the_rules_find(spark):
+    rows = [(1, "token = abcdefgh12 and secret: 'ijklmnop34', then none"), (2, "of AKIA" + "Q7" * 9), (3, "0123456789abcdef" * 2), (4, "nothing here"), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in secrets.redact_secrets(docs, mask="#").collect()}
+    assert masked == {1: "token = # and secret: '#', then none", 2: "of #", 3: "#", 4: "nothing here", 5: "", 6: None}
