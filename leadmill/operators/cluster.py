@@ -1,18 +1,21 @@
 """Sphere-exclusion clustering: leaders in id order, then each row to its most similar leader.
 
-Leaders are picked in Spark. Of the open rows with the smallest ids, a batch is joined with itself; in it a row without an open similar row of smaller
-id leads and closes the rows similar to it, again and again until none is open. Then these leaders close rows beyond the batch. Batches double while
-few of their rows are similar to one another, so rounds grow with the logarithm of sparse collections; no row reaches the driver.
+Leaders are picked in Spark, by batches of the open rows with the smallest ids; the leaders of a batch then close rows beyond it. A batch of up to BATCH rows
+is passed in id order by one task, so of dense collections no list of similar pairs is made. Batches double while few of their rows are similar to one
+another, so rounds grow with the logarithm of sparse collections; a larger batch is joined with itself, and in it a row without an open similar row of smaller
+id leads and closes the rows similar to it, again and again until none is open. No row reaches the driver.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..store import spool
 from .acquire import best_ids
-from .similarity import assign_to_nearest, nearest, similar_pairs
+from .similarity import QUERY_TILE, assign_to_nearest, nearest, nearest_centre, similar_pairs, without_similar
 
 BATCH = 8192
 DENSE = 8  # similar pairs for each row of a batch above which batches shrink
@@ -30,6 +33,26 @@ def independent(ids: DataFrame, links: DataFrame) -> DataFrame:
     return ids
 
 
+def passed(some: DataFrame, percent: int) -> DataFrame:
+    """Of rows (id, fp, n), no more than a batch and none without bits, those that a pass in id order takes: similar to none that it took before. One task."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id", kind="stable")
+        words = max(map(len, part["fp"]))
+        bits = np.array([[*x, *[0] * (words - len(x))] for x in part["fp"]], np.uint64)
+        n, place, took = part["n"].to_numpy(np.int64), np.arange(len(part)), []
+        while len(place):
+            first = place[0]
+            took.append(first)
+            both = np.bitwise_count(bits[place] & bits[first]).sum(axis=1, dtype=np.int64)
+            alike = (100 + percent) * both >= percent * (n[place] + n[first])
+            alike[0] = True
+            place = place[~alike]
+        return part.iloc[took]
+
+    return some.groupBy().applyInPandas(run, some.schema)
+
+
 def leaders(rows: DataFrame, percent: int, batch: int = BATCH) -> DataFrame:
     """id, fp, n of the leaders among rows (id, fp, n): in id order, a row that is similar to no
     leader before it is one. Of equal fingerprints only the smallest id can lead, so copies meet no pairs. A fingerprint without a bit is similar
@@ -40,13 +63,22 @@ def leaders(rows: DataFrame, percent: int, batch: int = BATCH) -> DataFrame:
     while not open_.isEmpty():
         ids = spool(best_ids(open_, batch), "ids")
         some = open_.join(ids, "id", "left_semi")
-        links = spool(similar_pairs(some, some, percent).filter("q < h").select(F.col("q").alias("a"), F.col("h").alias("b")), "pairs")
-        new = spool(some.join(independent(ids, links), "id", "left_semi"), "new")
+        if batch <= BATCH:
+            new = spool(passed(some, percent), "new")
+            few = new.count()
+            sparse = DENSE * few > batch
+        else:
+            links = spool(similar_pairs(some, some, percent).filter("q < h").select(F.col("q").alias("a"), F.col("h").alias("b")), "pairs")
+            new = spool(some.join(independent(ids, links), "id", "left_semi"), "new")
+            few, sparse = new.count(), links.count() <= DENSE * batch
         found.append(new)
         rest = open_.join(ids, "id", "left_anti")
-        near = similar_pairs(new, rest, percent).select(F.col("h").alias("id"))
-        open_ = spool(rest.join(near, "id", "left_anti"), "open")
-        batch = max(BATCH, batch // 2) if links.count() > DENSE * batch else 2 * batch
+        if few <= QUERY_TILE:
+            rest = without_similar(rest, new, percent)
+        else:
+            rest = rest.join(similar_pairs(new, rest, percent).select(F.col("h").alias("id")), "id", "left_anti")
+        open_ = spool(rest, "open")
+        batch = 2 * batch if sparse else max(min(batch, BATCH), batch // 2)
     for new in found:
         empty = empty.unionByName(new)
     return empty
@@ -67,14 +99,14 @@ def grown_clusters(clusters: DataFrame, rows: DataFrame, percent: int) -> DataFr
     known = clusters.select(F.col("compound_id").alias("id"), "cluster_id", "sim")
     old_leaders = rows.join(known.filter("id = cluster_id").select("id"), "id", "left_semi")
     new = spool(rows.join(known.select("id"), "id", "left_anti").select("id", "fp", "n"), "new")
-    by_old = spool(similar_pairs(old_leaders, new, percent), "by_old")
+    by_old = spool(nearest_centre(old_leaders, new, percent), "by_old")
     open_ = new.join(by_old.select(F.col("h").alias("id")), "id", "left_anti")
     fresh = spool(leaders(open_, percent), "leaders")
-    found = by_old.unionByName(similar_pairs(fresh, new, percent))
+    found = by_old.unionByName(nearest_centre(fresh, new, percent))
     # An old row may be nearer to a new leader; a leader is its own, and of equal similarities the older leader counts.
     kept = known.select(F.col("id").alias("h"), F.col("cluster_id").alias("q"), "sim")
     others = rows.join(known.filter("id <> cluster_id").select("id"), "id", "left_semi")
-    found = found.unionByName(kept).unionByName(similar_pairs(fresh, others, percent))
+    found = found.unionByName(kept).unionByName(nearest_centre(fresh, others, percent))
     own = fresh.select(F.col("id").alias("h"), F.col("id").alias("q"), F.lit(1.0).alias("sim"))
     every = nearest(found).join(own.select("h"), "h", "left_anti").unionByName(own)
     return every.select(F.col("h").alias("compound_id"), F.col("q").alias("cluster_id"), "sim")

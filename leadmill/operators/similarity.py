@@ -71,6 +71,15 @@ def similar_pairs(queries: DataFrame, rows: DataFrame, percent: int) -> DataFram
     return _with_sim(both.filter(_enough(percent, words)), words)
 
 
+def without_similar(rows: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """The rows (id, fp, n) that are similar to at least percent / 100 to none of few centres. Centres are broadcast, and a row is compared until one is
+    similar, so no pair leaves the join."""
+    words = centres.agg(F.max(F.size("fp"))).first()[0] or 1
+    q = centres.select(F.col("id").alias("q"), F.col("fp").alias("fq"), F.col("n").alias("nq"))
+    h = rows.select(F.col("id").alias("h"), F.col("fp").alias("fh"), F.col("n").alias("nh"))
+    return h.join(F.broadcast(q), _enough(percent, words), "left_anti").select(F.col("h").alias("id"), F.col("fh").alias("fp"), F.col("nh").alias("n"))
+
+
 def indexed_pairs(queries: DataFrame, rows: DataFrame, percent: int, most: str | None = None) -> DataFrame | None:
     """As `similar_pairs`, by the index of rarest bits; percent is above 0. A set of n bits that is to share ceil(n * percent / 100) of
     them is listed under all but that many, less one: two such sets, both in the order of rarity, meet at the first bit that they share. A row and a query
