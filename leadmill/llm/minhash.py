@@ -188,13 +188,14 @@ class RareIndex:
     def __init__(self, sets: list[np.ndarray], percent: int):
         n = np.array([len(s) for s in sets])
         values, of, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.numbers, self.ends, self.marked = of, np.append(0, np.cumsum(n)), np.zeros(len(values), bool)
         rank = np.empty(len(values), np.int64)
         rank[np.argsort(counts, kind="stable")] = np.arange(len(values))
-        rank, row = rank[of], np.repeat(np.arange(len(sets)), n)
-        rarest = np.lexsort((rank, row))
-        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        row = np.repeat(np.arange(len(sets)), n)
+        rank = np.sort(row * len(values) + rank[of]) - row * len(values)  # of each set in turn, its rarest first
+        place = np.arange(len(row)) - np.repeat(self.ends[:-1], n)
         keep = place < np.repeat(n + (-percent * n // 100) + 1, n)
-        self.rank, row = rank[rarest][keep], row[keep]  # of each set in turn
+        self.rank, row = rank[keep], row[keep]
         self.first = np.searchsorted(row, np.arange(len(sets) + 1))
         by_rank = np.argsort(self.rank, kind="stable")
         self.rows, self.starts = row[by_rank], np.searchsorted(self.rank[by_rank], np.arange(len(values) + 1))
@@ -205,6 +206,15 @@ class RareIndex:
         own = own[self.starts[own + 1] - self.starts[own] > 1]
         return np.unique(np.concatenate([self.rows[self.starts[r] : self.starts[r + 1]] for r in own])) if len(own) else own
 
+    def common(self, u: int, v: np.ndarray) -> np.ndarray:
+        """How many shingles each of the sets v shares with u. Shingles are compared by number, so no order of the sets counts."""
+        own = self.numbers[self.ends[u] : self.ends[u + 1]]
+        size = self.ends[v + 1] - self.ends[v]
+        self.marked[own] = True
+        hit = self.marked[np.concatenate([self.numbers[self.ends[x] : self.ends[x + 1]] for x in v])]
+        self.marked[own] = False
+        return np.add.reduceat(hit, np.append(0, size.cumsum()[:-1]), dtype=np.int64)
+
 
 def joining_links(g: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     """Confirmed links between the rows (k, n, c, far, part, signature, s) of one group that join
@@ -212,41 +222,33 @@ def joining_links(g: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     their rarest shingles are looked at, so what many share costs nothing."""
     k, n, c, far, part = (g[x].to_numpy() for x in ("k", "n", "c", "far", "part"))
     signature = np.frombuffer(b"".join(g["signature"]), np.uint8).reshape(len(g), FUNCTIONS)
-    sets, two, least = g["s"].tolist(), part.min() != part.max(), floor(percent)
-    index = RareIndex(sets, percent)
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := root.get(x, x)) != x:
-            root[x] = root.get(up, up)
-            x = up
-        return x
-
-    def apart(v: np.ndarray, u: int) -> np.ndarray:
-        """Those of v that no link joins to u yet."""
-        if not root:
-            return v[c[v] != c[u]]
-        mine = find(int(c[u]))
-        return v[np.array([find(x) != mine for x in c[v].tolist()], bool)] if len(v) else v
+    two, least = part.min() != part.max(), floor(percent)
+    index = RareIndex(g["s"].tolist(), percent)
+    root = np.unique(c, return_inverse=True)[1]  # of each row, as joined so far
+    rows: list[list[int]] = [[] for _ in range(root.max() + 1)]
+    for x, r in enumerate(root.tolist()):
+        rows[r].append(x)
+
+    def join(a: int, b: int) -> None:
+        a, b = (a, b) if len(rows[a]) >= len(rows[b]) else (b, a)
+        root[rows[b]] = a
+        rows[a] += rows[b]
+        rows[b] = []
 
     links = []
     for u in np.flatnonzero(far):
         v = index.partners(u)
         v = v[(100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])) & ((part[v] != part[u]) | (not two)) & (~far[v] | (k[v] > k[u]))]
-        v = apart(v, u)
+        v = v[root[v] != root[u]]
         v = v[(signature[v] == signature[u]).mean(axis=1) >= least] if len(v) else v
         while len(v):
             some, v = v[:256], v[256:]
-            size = n[some]
-            mine, others = sets[u], np.concatenate([sets[x] for x in some])
-            hit = mine[np.minimum(np.searchsorted(mine, others), len(mine) - 1)] == others
-            common = np.add.reduceat(hit, np.append(0, size.cumsum()[:-1]), dtype=np.int64)
-            for x in some[100 * common >= percent * (size + n[u] - common)]:
-                a, b = find(int(c[x])), find(int(c[u]))
-                if a != b:
-                    root[max(a, b)] = min(a, b)
+            common = index.common(u, some)
+            for x in some[100 * common >= percent * (n[some] + n[u] - common)]:
+                if root[x] != root[u]:
+                    join(int(root[x]), int(root[u]))
                     links.append((int(k[u]), int(k[x])))
-            v = apart(v, u)
+            v = v[root[v] != root[u]]
     return links
 
 
